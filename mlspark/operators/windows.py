@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from mlspark.plans.ordered import block_window, halo_blocks, null_safe_join, owned, row_index, running_sums
+from mlspark.plans.ordered import block_window, halo_blocks, null_safe_join, owned, position_sums, row_index
 
 Build = Callable[[W], dict[str, Column]]
 
@@ -163,10 +163,9 @@ def islands(df: DataFrame, keys: Sequence[str], order: str, starts: Callable[[Co
         previous = F.lag(order).over(w)
         return {"starts_run": previous.isNull() | starts(previous, F.col(order))}
 
-    marked = over_series(df, keys, order, build, before=1, ties=ties)
-    return running_sums(
-        marked, keys, order, {"run_no": F.col("starts_run").cast("long"), "pos": F.lit(1).cast("long")}, ties
-    )
+    indexed = row_index(df, keys, order, ties, out="pos")
+    marked = over_series(indexed, keys, order, build, before=1, position="pos")
+    return position_sums(marked, keys, "pos", {"run_no": F.col("starts_run").cast("long")})
 
 
 def collapse_adjacent(df: DataFrame, keys: Sequence[str], idx: str, max_gap: int = 2) -> DataFrame:
@@ -202,8 +201,9 @@ def gap_segments(
             "_last": F.coalesce(F.lead("_ms").over(w) - F.col("_ms") >= gap_ms, F.lit(False)),
         }
 
-    marked = over_series(ms, keys, "_ms", build, before=1, after=1, ties=ties)
-    numbered = running_sums(marked, keys, "_ms", {"segment": F.col("_new").cast("long")}, ties)
+    indexed = row_index(ms, keys, "_ms", ties, out="_pos")
+    marked = over_series(indexed, keys, "_ms", build, before=1, after=1, position="_pos")
+    numbered = position_sums(marked, keys, "_pos", {"segment": F.col("_new").cast("long")})
     return numbered.groupBy(*keys, "segment").agg(
         (F.min("_ms") - F.when(F.col("segment") > 1, pad_ms).otherwise(0)).alias("start_ms"),
         (F.max("_ms") + F.when(F.bool_or("_last"), pad_ms).otherwise(0)).alias("end_ms"),

@@ -84,19 +84,33 @@ def running_sums(
     bucketed = assign_buckets(staged, "_by", quantile_edges(staged, "_by", buckets))
 
     # a missing order value sorts last, after every bucket
-    inside = W.partitionBy(*keys, "_bucket").orderBy(F.col("_by").asc_nulls_last(), *ties).rowsBetween(
-        W.unboundedPreceding, 0
-    )
-    local = bucketed.select("*", *[F.sum(f"_v_{n}").over(inside).alias(f"_s_{n}") for n in sums])
-    totals = bucketed.groupBy(*keys, "_bucket").agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums])
-    before = W.partitionBy(*keys).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    order = [F.col("_by").asc_nulls_last(), *ties]
+    return bucketed_sums(bucketed, keys, "_bucket", order, list(sums), df.columns)
+
+
+def bucketed_sums(
+    df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[Column | str], names: Sequence[str], keep: Sequence[str]
+) -> DataFrame:
+    """Running totals of the ``_v_<name>`` columns inside (key, bucket), plus the totals of earlier buckets."""
+    inside = W.partitionBy(*keys, bucket).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    local = df.select("*", *[F.sum(f"_v_{n}").over(inside).alias(f"_s_{n}") for n in names])
+    totals = df.groupBy(*keys, bucket).agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in names])
+    before = W.partitionBy(*keys).orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.select(
-        *keys, "_bucket", *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in sums]
-    )
-    joined = null_safe_join(local, offsets, [*keys, "_bucket"])
-    return joined.select(
-        *df.columns, *[(F.col(f"_s_{n}") + F.col(f"_o_{n}")).alias(n) for n in sums]
+        *keys, bucket, *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in names]
     )
+    joined = null_safe_join(local, offsets, [*keys, bucket])
+    return joined.select(*keep, *[(F.col(f"_s_{n}") + F.col(f"_o_{n}")).alias(n) for n in names])
+
+
+def position_sums(
+    df: DataFrame, keys: Sequence[str], pos: str, sums: dict[str, Column], size: int = 65536
+) -> DataFrame:
+    """Running totals for a table that already has 1-based positions: blocks of positions are the buckets."""
+    staged = df.withColumn("_bucket", F.floor((F.col(pos) - 1) / size).cast("long"))
+    for name, value in sums.items():
+        staged = staged.withColumn(f"_v_{name}", value)
+    return bucketed_sums(staged, keys, "_bucket", [pos], list(sums), df.columns)
 
 
 def row_index(
