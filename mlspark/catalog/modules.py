@@ -1,3 +1,3 @@
 """Imports every catalog module, which registers its queries."""
 
-from mlspark.catalog import cleaning, joined, ordered, recommenders, sources  # noqa: F401
+from mlspark.catalog import cleaning, joined, ordered, recommenders, sources, texts  # noqa: F401
