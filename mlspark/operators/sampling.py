@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from mlspark.plans.neighbours import vector_topk
 from mlspark.plans.ordered import null_safe_join, row_index
+from mlspark.session import written
 
 
 def row_hash(keys: Sequence[str], seed: int = 0) -> Column:
@@ -94,3 +96,34 @@ def undersample(df: DataFrame, label: str, key: str, seed: int = 42, order: Colu
     by = order if order is not None else row_hash([key], seed)
     smallest = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).select(F.min("n")).scalar()
     return ranked_in_class(df, [label], by, key).filter(F.col("_idx") <= smallest).drop("_idx", "_n")
+
+
+def smote(
+    df: DataFrame, label: str, minority, key: str, vector: str, k: int = 5, seed: int = 42, draw=None, pivots: int | None = None
+) -> DataFrame:
+    """Synthetic minority rows until both sides are equal: (key, copy, neighbour, vector).
+
+    Every minority row gets the same number of copies (the first ones one more); a copy lies between the
+    row and one of its k nearest minority rows.  ``draw(key, copy, salt)`` gives a repeatable BIGINT.
+    """
+    pick = draw or (lambda i, c, salt: F.xxhash64(i, c, F.lit(seed + salt)))
+    small = written(df.filter(F.col(label) == minority).select(key, F.col(vector).cast("array<double>").alias(vector)), "minority")
+    near = vector_topk(small, small, k, key, key, vector, exclude_self=True, pivots=pivots)
+    sizes = df.agg(
+        F.count(F.when(F.col(label) == minority, 1)).alias("few"), F.count(F.when(F.col(label) != minority, 1)).alias("many")
+    ).first()
+    few, wanted = sizes["few"], max(0, sizes["many"] - sizes["few"])
+    if few < 2 or wanted == 0:
+        return small.select(key, F.lit(0).cast("long").alias("copy"), F.col(key).alias("neighbour"), vector).limit(0)
+    copies = F.lit(wanted // few) + F.when(F.col("_at") <= wanted % few, 1).otherwise(0)
+    planned = (
+        row_index(small, [], key, out="_at")
+        .withColumn("_copies", copies.cast("long"))
+        .filter("_copies > 0")
+        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+        .withColumn("rank", F.pmod(pick(F.col(key), F.col("copy"), 1), F.lit(min(k, few - 1))).cast("long") + 1)
+        .withColumn("_gap", F.pmod(pick(F.col(key), F.col("copy"), 2), F.lit(1000)) / F.lit(1000.0))
+    )
+    chosen = planned.join(near.select(F.col("query_id").alias(key), "rank", F.col("base_id").alias("neighbour")), [key, "rank"])
+    both = chosen.join(small.select(F.col(key).alias("neighbour"), F.col(vector).alias("_other")), "neighbour")
+    return both.select(key, "copy", "neighbour", F.zip_with(vector, "_other", lambda a, b: a + (b - a) * F.col("_gap")).alias(vector))

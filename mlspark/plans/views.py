@@ -149,3 +149,23 @@ TRIAL = """trial AS (
   SELECT o_orderkey AS row_id, CAST(o_orderpriority IN ('1-URGENT', '2-HIGH') AS INT) AS treatment,
          c_acctbal AS score, c_mktsegment AS segment, o_totalprice AS outcome
   FROM orders JOIN customer ON o_custkey = c_custkey)"""
+
+
+def churn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per customer: months between first and last order, mean price, segment, whether gone."""
+    month = F.year("o_orderdate") * 12 + F.month("o_orderdate")
+    orders = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        (F.max(month) - F.min(month)).alias("tenure"),
+        F.round(F.avg("o_totalprice"), 2).alias("monthly_charges"),
+        F.count(F.lit(1)).alias("n_orders"),
+        (F.max("o_orderdate") < F.lit("2001-01-01").cast("timestamp_ntz")).cast("int").alias("churn"),
+    )
+    customer = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_mktsegment").alias("contract"), "c_acctbal")
+    return customer.join(orders, "c_custkey")
+
+
+CHURN = """churn AS (
+  SELECT c_custkey, c_mktsegment AS contract, c_acctbal, tenure, monthly_charges, n_orders, churn FROM customer JOIN (
+    SELECT o_custkey, max(year(o_orderdate) * 12 + month(o_orderdate)) - min(year(o_orderdate) * 12 + month(o_orderdate)) AS tenure,
+           round(avg(o_totalprice), 2) AS monthly_charges, count(*) AS n_orders, CAST(max(o_orderdate) < TIMESTAMP '2001-01-01' AS INT) AS churn
+    FROM orders GROUP BY 1) ON c_custkey = o_custkey)"""
