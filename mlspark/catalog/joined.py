@@ -193,8 +193,8 @@ def s2(spark, sf):
     "WITH " + PAIRS.replace("FROM embeddings)", "FROM embeddings WHERE label = 0)") + f""",
     near AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY dist, base_id) AS rank FROM d WHERE query_id <> base_id) WHERE rank <= 5),
     c AS (SELECT count(*) FILTER (label = 0) AS few, count(*) FILTER (label <> 0) - count(*) FILTER (label = 0) AS wanted FROM embeddings),
-    m AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS at FROM q),
-    p AS (SELECT vec_id, unnest(range(1, CAST(wanted // few + CASE WHEN at <= wanted % few THEN 1 ELSE 0 END AS BIGINT) + 1)) AS copy FROM m, c),
+    m AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS pos FROM q),
+    p AS (SELECT vec_id, unnest(range(1, CAST(wanted // few + CASE WHEN pos <= wanted % few THEN 1 ELSE 0 END AS BIGINT) + 1)) AS copy FROM m, c),
     r AS (SELECT vec_id, copy, {spread_hash_sql('vec_id * 1009 + copy', 1)} % 5 + 1 AS rank, ({spread_hash_sql('vec_id * 1009 + copy', 2)} % 1000) / CAST(1000 AS DOUBLE) AS gap FROM p)
     SELECT r.vec_id, r.copy, base_id AS neighbour, round(a.e[1] + (b.e[1] - a.e[1]) * gap, 6) AS v0, round(a.e[64] + (b.e[64] - a.e[64]) * gap, 6) AS v63
     FROM r JOIN near n ON n.query_id = r.vec_id AND n.rank = r.rank JOIN q a ON a.vec_id = r.vec_id JOIN q b ON b.vec_id = base_id""",

@@ -226,12 +226,12 @@ def _hot_lists(hot_rows: DataFrame, k: int, chunk: int) -> DataFrame:
     appear in any list.
     """
     vectors = hot_rows.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("dim", "weight"))).alias("vec"))
-    keyed = vectors.select("id", F.xxhash64(F.to_json("vec")).alias("sig"), "vec")
+    keyed = vectors.select("id", F.md5(F.to_json("vec").cast("binary")).alias("sig"), "vec")
     by_id = W.partitionBy("sig").orderBy("id")
     members = keyed.withColumn("_rn", F.row_number().over(by_id)).filter(F.col("_rn") <= k + 1).select("sig", "id")
     shapes = written(keyed.groupBy("sig").agg(F.min("id").alias("first_id"), F.any_value("vec").alias("vec")), "hot-vectors")
     blocks = max(1, -(-shapes.count() // chunk))
-    block_of = F.pmod("sig", F.lit(blocks))
+    block_of = F.pmod(F.xxhash64("sig"), F.lit(blocks))
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     left = shapes.select(F.col("sig").alias("sig_a"), F.col("vec").alias("vec_a"), block_of.alias("i")).withColumn("j", every)
     right = shapes.select(
@@ -275,7 +275,7 @@ def _hot_lists(hot_rows: DataFrame, k: int, chunk: int) -> DataFrame:
 
     id_type = hot_rows.schema["id"].dataType.simpleString()
     local = left.groupBy("i", "j").cogroup(right.groupBy("i_b", "j_b")).applyInPandas(
-        best, f"sig_a long, sig_b long, dot double, first_id {id_type}"
+        best, f"sig_a string, sig_b string, dot double, first_id {id_type}"
     )
     top = W.partitionBy("sig_a").orderBy(F.desc("dot"), "first_id")
     shapes_near = local.withColumn("_rn", F.row_number().over(top)).filter(F.col("_rn") <= k + 1)
