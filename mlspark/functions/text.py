@@ -14,7 +14,8 @@ from mlspark.functions.columns import to_column
 # fixed values: patterns of the text clean-up
 URL = r"https?://[-_a-zA-Z0-9./]+"
 DIGITS = r"[0-9]+"
-WORD = r"[\p{L}\p{N}]+"
+WORD_CHAR = r"[\p{L}\p{N}]"
+WORD = WORD_CHAR + "+"
 
 
 @F.pandas_udf(T.StringType())
@@ -32,11 +33,10 @@ def normalize_text(col: str | Column, compatibility: bool = True) -> Column:
 
 def tokenize(col: str | Column, min_len: int = 2, stop_words: Column | None = None) -> Column:
     """Lower-case Unicode words of at least ``min_len`` characters, stop words dropped, order kept."""
-    words = F.regexp_extract_all(F.lower(to_column(col)), F.lit(f"({WORD})"))
-    long_enough = F.filter(words, lambda w: F.length(w) >= min_len)
+    words = F.regexp_extract_all(F.lower(to_column(col)), F.lit(f"({WORD_CHAR}{{{min_len},}})"))
     if stop_words is None:
-        return long_enough
-    return F.filter(long_enough, lambda w: ~F.array_contains(stop_words, w))
+        return words
+    return F.filter(words, lambda w: ~F.array_contains(stop_words, w))
 
 
 # fixed values: function words left out per language

@@ -20,7 +20,7 @@ from mlspark.operators.metrics import classification_report, quantile_threshold
 from mlspark.operators.windows import collapse_adjacent, sequences
 from mlspark.plans.neighbours import stack, vector_topk
 from mlspark.plans.ordered import null_safe_join, row_index
-from mlspark.session import written
+from mlspark.session import spread_rows, written
 
 # fixed values: (play time below, score above) of the threshold rules, and the overall score limit
 SCORE_RULES = ((20, 2000), (60, 2500), (90, 2750))
@@ -76,21 +76,24 @@ def _grow(seed: int, depth_limit: int):
     return grow
 
 
-def fit_isolation_forest(df: DataFrame, key: str, features: Sequence[str], trees: int = 100, sample: int = 256, seed: int = 1) -> pd.DataFrame:
-    """Nodes of random-split trees, each grown in its own task from at most ``sample`` hash-drawn rows.
+def fit_isolation_forest(df: DataFrame, n: int, key: str, features: Sequence[str], trees: int = 100, sample: int = 256, seed: int = 1) -> pd.DataFrame:
+    """Nodes of random-split trees for a table of ``n`` rows, each grown in its own task from at most ``sample`` hash-drawn rows.
 
-    A row offers itself to a tree when its hash for that tree is small, so the draw for all trees is one
-    pass that emits about ``2 * sample`` rows per tree whatever the table size.
+    One hash per row keeps about ``2 * sample`` rows per tree whatever the table size; a second one names
+    the row's tree.  Tables too small for disjoint samples offer each row to several trees.
     """
-    n = df.count()
-    share = min(1.0, (2 * sample + 64) / max(n, 1))
+    wanted = 2 * sample * trees
+    share = min(1.0, wanted / max(n, 1))
+    offers = min(trees, max(1, -(-wanted // max(n, 1))))
+    stride = next(s for s in range(max(1, trees * 2 // 5), 2 * trees + 2) if math.gcd(s, trees) == 1)
     x = F.array(*[F.col(c).cast("double") for c in features])
-    draws = F.transform(
-        F.sequence(F.lit(0), F.lit(trees - 1)),
-        lambda t: F.struct(t.alias("tree"), F.pmod(F.xxhash64(F.col(key), t, F.lit(seed)), F.lit(1 << 40)).alias("h")),
+    kept_share = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 40)) < F.lit(int(share * (1 << 40)))
+    offered = (
+        df.filter(kept_share)
+        .select(F.col(key).alias("_k"), x.alias("x"), F.explode(F.sequence(F.lit(0), F.lit(offers - 1))).alias("_j"))
+        .withColumn("tree", F.pmod(F.xxhash64("_k", F.lit(seed + 1)) + F.col("_j").cast("long") * stride, F.lit(trees)).cast("int"))
     )
-    offered = F.filter(draws, lambda d: d["h"] < int(share * (1 << 40)))
-    rows = df.select(F.col(key).alias("_k"), x.alias("x"), F.explode(offered).alias("d")).select("_k", "x", "d.tree", "d.h")
+    rows = offered.select("_k", "x", "tree", F.xxhash64("_k", "tree", F.lit(seed + 2)).alias("h"))
     first = W.partitionBy("tree").orderBy("h", "_k")
     kept = rows.withColumn("_rn", F.row_number().over(first)).filter(F.col("_rn") <= sample).select("tree", "h", "x")
     grow = _grow(seed, math.ceil(math.log2(sample)))
@@ -100,36 +103,36 @@ def fit_isolation_forest(df: DataFrame, key: str, features: Sequence[str], trees
 
 def isolation_score(nodes: pd.DataFrame):
     """UDF: 2 ** (-mean path / normal path) per row, walking all trees one level at a time."""
-    trees = int(nodes["tree"].max()) + 1
     width = int(nodes["node"].max()) + 1
-    feature = np.full((trees, width), -1)
-    split = np.zeros((trees, width))
-    length = np.zeros((trees, width))
-    at = (nodes["tree"].to_numpy(), nodes["node"].to_numpy())
-    feature[at], split[at] = nodes["feature"], nodes["split"]
+    rank = {t: i for i, t in enumerate(sorted(set(nodes["tree"])))}
+    at = nodes["tree"].map(rank).to_numpy() * width + nodes["node"].to_numpy()
+    slots = len(rank) * width
+    feature, split = np.zeros(slots, dtype=np.int64), np.zeros(slots)
+    left, right, length = np.arange(slots), np.arange(slots), np.zeros(slots)
+    inner = nodes["feature"].to_numpy() >= 0
+    feature[at], split[at] = np.maximum(nodes["feature"].to_numpy(), 0), nodes["split"].to_numpy()
+    # a leaf is its own child, so that every row can take the same number of steps
+    start = at - nodes["node"].to_numpy()
+    left[at[inner]] = (start + 2 * nodes["node"].to_numpy() + 1)[inner]
+    right[at[inner]] = left[at[inner]] + 1
     length[at] = nodes["depth"].to_numpy() + average_path(nodes["size"].to_numpy())
-    sampled = nodes[nodes["node"] == 0]["size"].to_numpy()
-    normal = float(average_path(sampled).mean()) or 1.0
-    used = sorted(set(nodes["tree"]))
+    normal = float(average_path(nodes[nodes["node"] == 0]["size"].to_numpy()).mean()) or 1.0
+    depth = int(nodes["depth"].max())
+    roots = np.arange(len(rank)) * width
+
+    def paths(x: np.ndarray) -> np.ndarray:
+        node = np.broadcast_to(roots, (len(x), len(roots)))
+        for _ in range(depth):
+            node = np.where(np.take_along_axis(x, feature[node], 1) >= split[node], right[node], left[node])
+        return length[node].mean(1)
 
     @F.pandas_udf(T.DoubleType())
     def score(rows: pd.Series) -> pd.Series:
         if not len(rows):
             return pd.Series([], dtype=float)
         x = stack(rows)
-        who = np.arange(len(x))
-        total = np.zeros(len(x))
-        for t in used:
-            node = np.zeros(len(x), dtype=int)
-            while True:
-                f = feature[t, node]
-                inner = f >= 0
-                if not inner.any():
-                    break
-                right = x[who[inner], f[inner]] >= split[t, node[inner]]
-                node[inner] = 2 * node[inner] + 1 + right
-            total += length[t, node]
-        return pd.Series(np.power(2.0, -(total / len(used)) / normal))
+        mean = np.concatenate([paths(x[i:i + 2048]) for i in range(0, len(x), 2048)])
+        return pd.Series(np.power(2.0, -mean / normal))
 
     return score
 
@@ -138,7 +141,9 @@ def isolation_forest(
     df: DataFrame, key: str, features: Sequence[str], contamination: float = 0.03, trees: int = 100, sample: int = 256, seed: int = 1
 ) -> DataFrame:
     """Adds ``score`` and ``anomaly`` (1 for rows above the exact (1 - contamination) quantile)."""
-    nodes = fit_isolation_forest(df, key, features, trees, sample, seed)
+    n = df.count()
+    nodes = fit_isolation_forest(df, n, key, features, trees, sample, seed)
+    df = spread_rows(df, n)
     x = F.array(*[F.col(c).cast("double") for c in features])
     scored = written(df.withColumn("score", F.round(isolation_score(nodes)(x), 9)), "isolation")
     cut = quantile_threshold(scored, "score", 1 - contamination).scalar()

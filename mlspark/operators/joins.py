@@ -50,20 +50,24 @@ def nearest_join(
     line = assign_buckets(line, "_x", quantile_edges(line, "_x", buckets))
     point = F.when(F.col("_rid").isNotNull(), F.struct("_x", "_rid"))
 
+    # "next" is "previous" in falling order: a frame that reaches to the end of a partition would be
+    # evaluated anew for every row
     edges = line.groupBy("_bucket").agg(F.max(point).alias("hi"), F.min(point).alias("lo"))
-    by_bucket = W.orderBy("_bucket")
+    earlier = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    later = W.orderBy(F.desc("_bucket")).rowsBetween(W.unboundedPreceding, -1)
     carried = edges.select(
         "_bucket",
-        F.last("hi", ignorenulls=True).over(by_bucket.rowsBetween(W.unboundedPreceding, -1)).alias("_before"),
-        F.first("lo", ignorenulls=True).over(by_bucket.rowsBetween(1, W.unboundedFollowing)).alias("_after"),
+        F.last("hi", ignorenulls=True).over(earlier).alias("_before"),
+        F.last("lo", ignorenulls=True).over(later).alias("_after"),
     )
-    order = W.partitionBy("_bucket").orderBy("_x", F.col("_rid").asc_nulls_last())
+    rising = W.partitionBy("_bucket").orderBy("_x", F.col("_rid").asc_nulls_last()).rowsBetween(W.unboundedPreceding, 0)
+    falling = W.partitionBy("_bucket").orderBy(F.desc("_x"), F.col("_rid").asc_nulls_last()).rowsBetween(W.unboundedPreceding, 0)
     inside = line.select(
         "_lid",
         "_x",
         "_bucket",
-        F.last(point, ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, 0)).alias("_below"),
-        F.first(point, ignorenulls=True).over(order.rowsBetween(0, W.unboundedFollowing)).alias("_above"),
+        F.last(point, ignorenulls=True).over(rising).alias("_below"),
+        F.last(point, ignorenulls=True).over(falling).alias("_above"),
     ).filter(F.col("_lid").isNotNull() & F.col("_x").isNotNull())
     # at most 2048 rows, one per bucket
     both = inside.join(F.broadcast(carried), "_bucket")

@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mlspark.session import utc
+from mlspark.session import spread, utc
+
+# tables whose rows are costly to process: text parsing, HTML
+HEAVY = {"documents", "pages"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    df = utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in HEAVY else df
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
