@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from mlspark.session import partitions
 
 MAX_BUCKETS = 2048
+ORDERED = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 def as_number(df: DataFrame, col: str) -> Column:
@@ -31,24 +32,41 @@ def as_number(df: DataFrame, col: str) -> Column:
     return F.col(col).cast("double")
 
 
-def quantile_edges(df: DataFrame, col: str, buckets: int | None = None) -> list[float]:
-    """Distinct inner bucket edges: a sketch per partition merged on the driver, at most 2047 numbers."""
+def quantile_cuts(df: DataFrame, col: str, buckets: int | None = None) -> list[float]:
+    """Quantiles at equal steps: a sketch per partition merged by a tree, at most 2047 numbers collected."""
     n = min(MAX_BUCKETS, buckets or partitions(df.sparkSession))
-    probs = [i / n for i in range(1, n)]
-    if not probs:
-        return []
-    cuts = df.approxQuantile(col, probs, 0.25 / n)
-    return sorted(set(cuts))
+    return sorted(df.approxQuantile(col, [i / n for i in range(1, n)], 0.25 / n)) if n > 1 else []
+
+
+def quantile_edges(df: DataFrame, col: str, buckets: int | None = None) -> list[float]:
+    """Distinct inner bucket edges."""
+    return sorted(set(quantile_cuts(df, col, buckets)))
 
 
 def assign_buckets(df: DataFrame, col: str, edges: Sequence[float], out: str = "_bucket") -> DataFrame:
-    """Binary search of ``col`` in the edges; equal values always share a bucket."""
+    """Binary search of ``col`` in the edges; equal values share a bucket, missing ones take the last."""
+    if not edges:
+        return df.withColumn(out, F.lit(0))
     splits = [float("-inf"), *edges, float("inf")]
-    return (
-        Bucketizer(splits=splits, inputCol=col, outputCol=out, handleInvalid="keep")
-        .transform(df)
-        .withColumn(out, F.col(out).cast("int"))
-    )
+    found = Bucketizer(splits=splits, inputCol=col, outputCol=out, handleInvalid="keep").transform(df)
+    return found.withColumn(out, F.coalesce(F.col(out).cast("int"), F.lit(len(edges) + 1)))
+
+
+def split_hot_values(df: DataFrame, cuts: Sequence[float], tie: str, buckets: int | None) -> DataFrame:
+    """Cut buckets that begin with a very frequent order value by the first tie column.
+
+    A value that fills more than one quantile step shows up twice among the cuts and is the lower edge
+    of its bucket, so its rows come first there: they are spread by the tie column's own quantiles, and
+    the bucket's other rows follow.
+    """
+    hot = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
+    if not hot:
+        return df
+    staged = df.withColumn("_tie", as_number(df, tie))
+    edges = quantile_edges(staged, "_tie", buckets)
+    staged = assign_buckets(staged, "_tie", edges, "_sub")
+    place = F.when(F.col("_by").isin(hot), F.col("_sub")).otherwise(F.lit(len(edges) + 2))
+    return staged.withColumn("_bucket", F.col("_bucket") * (len(edges) + 3) + place).drop("_tie", "_sub")
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -81,7 +99,10 @@ def running_sums(
     staged = df.withColumn("_by", -number if descending else number)
     for name, value in sums.items():
         staged = staged.withColumn(f"_v_{name}", value)
-    bucketed = assign_buckets(staged, "_by", quantile_edges(staged, "_by", buckets))
+    cuts = quantile_cuts(staged, "_by", buckets)
+    bucketed = assign_buckets(staged, "_by", sorted(set(cuts)))
+    if ties and isinstance(df.schema[ties[0]].dataType, ORDERED):
+        bucketed = split_hot_values(bucketed, cuts, ties[0], buckets)
 
     # a missing order value sorts last, after every bucket
     order = [F.col("_by").asc_nulls_last(), *ties]
