@@ -136,7 +136,7 @@ USER_SIMS = SPLIT + """,
 
 def neighbours(spark, sf, k=40):
     train, _ = train_test(spark, sf)
-    return joins.user_similarity(train, k)
+    return joins.user_similarity(written(train, "train"), k)
 
 
 @query("J10_user_similarity", "WITH " + USER_SIMS + " SELECT a, b, round(sim, 4) AS sim, rank FROM near")

@@ -68,16 +68,15 @@ CB = ITEM_WEIGHTS + """,
   cb AS (SELECT c.* FROM cb0 c WHERE NOT EXISTS (SELECT 1 FROM train s WHERE s.user_id = c.user_id AND s.item_id = c.item_id))"""
 
 
-def content(spark, sf, train):
+def content(spark, sf, train, cf=None):
     weights = written(item_weights(spark, sf), "item-weights")
-    profiles = written(P.content_profiles(train, weights), "content-profiles")
-    return weights, profiles, P.content_lists(train, profiles, weights, TOP)
+    return P.content_lists(train, P.content_profiles(train, weights), weights, TOP, cf)
 
 
 @query("P3_content_scores", "WITH " + SPLIT + ", " + CB + " " + ranked_sql("cb", TOP))
 def p3(spark, sf):
     train, _ = split(spark, sf)
-    _, _, lists = content(spark, sf, train)
+    lists = content(spark, sf, train)
     return P.content_scores(lists, TOP).withColumn("score", F.round("score", 6))
 
 
@@ -87,7 +86,7 @@ def p3(spark, sf):
 )
 def p3_ranges(spark, sf):
     train, _ = split(spark, sf)
-    _, _, lists = content(spark, sf, train)
+    lists = content(spark, sf, train)
     return P.content_ranges(lists).withColumns({c: F.round(c, 6) for c in ("lo", "hi")})
 
 
@@ -99,12 +98,9 @@ HYBRID = CF + ", " + CB + """,
 
 def all_models(spark, sf):
     train, test = split(spark, sf)
-    weights, profiles, lists = content(spark, sf, train)
-    lists = written(lists, "content-lists")
     cf = written(P.cf_scores(joins.user_similarity(train, 40), train), "cf-scores")
-    on_cf = P.content_scores_for(cf.select("user_id", "item_id"), profiles, weights)
-    hybrid = P.hybrid_scores(cf, on_cf, P.content_ranges(lists))
-    return train, test, cf, lists, hybrid
+    lists = written(content(spark, sf, train, cf), "content-lists")
+    return train, test, cf, lists, P.hybrid_scores(lists, cf)
 
 
 @query("P4_hybrid_scores", "WITH " + HYBRID + " " + ranked_sql("hy", TOP))

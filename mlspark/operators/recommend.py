@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mlspark.operators.joins import anti_seen, semi_known
-from mlspark.operators.metrics import minmax_normalize, precision_at_n, weighted_mean_score
+from mlspark.operators.metrics import precision_at_n, weighted_mean_score
 from mlspark.operators.sampling import kfold, sample_fraction
 from mlspark.operators.windows import topn_per_group
+from mlspark.plans.neighbours import first_best
 from mlspark.plans.ordered import row_index
 from mlspark.session import shared_dir, written
 
@@ -75,44 +76,46 @@ def _item_vectors(weights: DataFrame) -> DataFrame:
     return weights.groupBy(ITEM).agg(F.collect_list(F.struct("term", "weight")).alias("terms"))
 
 
-def content_scores_for(pairs: DataFrame, profiles: DataFrame, weights: DataFrame) -> DataFrame:
-    """Content score of the given (user, item) pairs."""
-    entry = F.map_from_entries(F.collect_list(F.struct(F.col("term"), F.struct("num", "den"))))
-    users = profiles.groupBy(USER).agg(entry.alias("_profile"))
-    joined = pairs.join(_item_vectors(weights), ITEM).join(users, USER)
-
-    def total(part: str) -> Column:
-        return F.aggregate(
-            "terms",
-            F.lit(0.0),
-            lambda s, t: s + t["weight"] * F.coalesce(F.try_element_at(F.col("_profile"), t["term"])[part], F.lit(0.0)),
-        )
-
-    sums = joined.select(*pairs.columns, total("num").alias("_num"), total("den").alias("_den"))
-    return sums.filter("_den > 0").select(*pairs.columns, (F.col("_num") / F.col("_den")).alias("content_score"))
-
-
 def content_lists(
-    train: DataFrame, profiles: DataFrame, weights: DataFrame, n: int, user_block: int = 512, item_block: int = 8192
+    train: DataFrame,
+    profiles: DataFrame,
+    weights: DataFrame,
+    n: int,
+    cf: DataFrame | None = None,
+    user_block: int = 512,
+    item_block: int = 8192,
 ) -> DataFrame:
     """Per user over all unrated items: number scored, lowest and highest score, and the best n items.
 
+    With ``cf`` (user, item, score) the content scores of those pairs come along, next to the given
+    scores: both models meet here, instead of in a join of two user-item tables.
+
     Every user meets every item, as the definition asks, in blocks of fixed size; a block pair keeps
     n rows per user, and no user-item table is written.
     """
     seen = train.groupBy(USER).agg(F.sort_array(F.collect_set(ITEM)).alias("seen"))
     users = profiles.groupBy(USER).agg(F.collect_list(F.struct("term", "num", "den")).alias("profile")).join(seen, USER)
+    if cf is None:
+        item_type = train.schema[ITEM].dataType.simpleString()
+        users = users.withColumn("ask_items", F.array().cast(f"array<{item_type}>")).withColumn("ask_cf", F.array().cast("array<double>"))
+    else:
+        asked = cf.groupBy(USER).agg(F.sort_array(F.collect_list(F.struct(ITEM, "score"))).alias("a"))
+        # two plain arrays reach Python as NumPy arrays, structs would arrive as objects
+        asked = asked.select(USER, F.col(f"a.{ITEM}").alias("ask_items"), F.col("a.score").alias("ask_cf"))
+        users = users.join(asked, USER, "left")
     users = written(users, "profiles")
     items = written(_item_vectors(weights), "item-vectors")
     ub = max(1, -(-users.count() // user_block))
     ib = max(1, -(-items.count() // item_block))
-    left = users.withColumn("i", F.pmod(F.xxhash64(USER), F.lit(ub))).withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(ib - 1))))
-    right = items.withColumn("j_", F.pmod(F.xxhash64(ITEM), F.lit(ib))).withColumn("i_", F.explode(F.sequence(F.lit(0), F.lit(ub - 1))))
+    # both sides' keys have the same type: equal numbers of different types hash apart
+    left = users.withColumn("i", F.pmod(F.xxhash64(USER), F.lit(ub)).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(ib - 1))))
+    right = items.withColumn("j_", F.pmod(F.xxhash64(ITEM), F.lit(ib)).cast("int")).withColumn("i_", F.explode(F.sequence(F.lit(0), F.lit(ub - 1))))
 
     def score(u: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
-        out: dict[str, list] = {"user_id": [], "n": [], "lo": [], "hi": [], "items": [], "scores": []}
+        fields = ("user_id", "n", "lo", "hi", "items", "scores", "pair_items", "pair_cf", "pair_scores")
+        out: dict[str, list] = {f: [] for f in fields}
         if not len(u) or not len(v):
-            return pd.DataFrame(out)
+            return pd.DataFrame(out, dtype=object)
         v = v.sort_values("item_id", kind="stable")
         ids = v["item_id"].to_numpy()
         index = {t: at for at, t in enumerate(sorted({e["term"] for terms in v["terms"] for e in terms}))}
@@ -129,7 +132,7 @@ def content_lists(
         below = den @ item.T
         valid = below > 0
         result = np.where(valid, (num @ item.T) / np.where(valid, below, 1.0), np.nan)
-        for r, (user, known) in enumerate(zip(u["user_id"], u["seen"])):
+        for r, (user, known, ask_items, ask_cf) in enumerate(zip(u["user_id"], u["seen"], u["ask_items"], u["ask_cf"])):
             row = result[r].copy()
             at = np.searchsorted(ids, known)
             at = at[(at < len(ids))]
@@ -137,17 +140,27 @@ def content_lists(
             real = np.flatnonzero(~np.isnan(row))
             if not len(real):
                 continue
-            best = real[(-np.round(row[real], DIGITS)).argsort(kind="stable")[:n]]
+            best = real[first_best(np.round(row[real], DIGITS), n)]
             out["user_id"].append(user)
             out["n"].append(len(real))
             out["lo"].append(row[real].min())
             out["hi"].append(row[real].max())
             out["items"].append(ids[best])
             out["scores"].append(row[best])
-        return pd.DataFrame(out)
+            wanted = np.asarray(ask_items if ask_items is not None else [], dtype=ids.dtype)
+            given = np.asarray(ask_cf if ask_cf is not None else [], dtype=float)
+            place = np.searchsorted(ids, wanted)
+            here = np.flatnonzero(place < len(ids))
+            here = here[ids[place[here]] == wanted[here]]
+            here = here[~np.isnan(row[place[here]])]
+            out["pair_items"].append(wanted[here])
+            out["pair_cf"].append(given[here])
+            out["pair_scores"].append(row[place[here]])
+        return pd.DataFrame(out, dtype=object if not out["n"] else None)
 
     id_type, item_type = (train.schema[c].dataType.simpleString() for c in PAIR)
-    schema = f"user_id {id_type}, n long, lo double, hi double, items array<{item_type}>, scores array<double>"
+    schema = f"user_id {id_type}, n long, lo double, hi double, items array<{item_type}>, scores array<double>, "
+    schema += f"pair_items array<{item_type}>, pair_cf array<double>, pair_scores array<double>"
     return left.groupBy("i", "j").cogroup(right.groupBy("i_", "j_")).applyInPandas(score, schema)
 
 
@@ -163,16 +176,20 @@ def content_ranges(lists: DataFrame) -> DataFrame:
     return lists.groupBy(USER).agg(F.sum("n").alias("n_items"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
 
 
-def hybrid_scores(cf: DataFrame, content: DataFrame, ranges: DataFrame, alpha: float = 0.5, epsilon: float = 1e-9) -> DataFrame:
-    """Blend of both models, each min-max scaled over its own items first, on the items both scored.
+def hybrid_scores(lists: DataFrame, cf: DataFrame, alpha: float = 0.5, epsilon: float = 1e-9) -> DataFrame:
+    """Blend of both models on the items both scored, each min-max scaled over its own items first.
 
-    ``content`` holds content scores of the cf pairs; ``ranges`` their range over all unrated items.
+    ``lists`` are block lists made with ``cf``; the ranges of both models are one row per user.
     """
-    left = minmax_normalize(cf, [USER], "score", "cf_norm", epsilon).select(*PAIR, "cf_norm")
-    scaled = (F.col("content_score") - F.col("lo")) / (F.col("hi") - F.col("lo") + F.lit(epsilon))
-    right = content.select(*PAIR, "content_score").join(ranges.select(USER, "lo", "hi"), USER).select(*PAIR, scaled.alias("content_norm"))
-    both = left.join(right, PAIR)
-    return both.select(*PAIR, (F.lit(alpha) * F.col("cf_norm") + F.lit(1 - alpha) * F.col("content_norm")).alias("score"))
+    pairs = lists.select(USER, F.inline(F.arrays_zip("pair_items", "pair_cf", "pair_scores")))
+    cf_range = cf.groupBy(USER).agg(F.min("score").alias("_cl"), F.max("score").alias("_ch"))
+    ranges = content_ranges(lists).select(USER, F.col("lo").alias("_tl"), F.col("hi").alias("_th")).join(cf_range, USER)
+
+    def scaled(value: str, low: str, high: str) -> Column:
+        return (F.col(value) - F.col(low)) / (F.col(high) - F.col(low) + F.lit(epsilon))
+
+    blend = F.lit(alpha) * scaled("pair_cf", "_cl", "_ch") + F.lit(1 - alpha) * scaled("pair_scores", "_tl", "_th")
+    return pairs.join(ranges, USER).select(USER, F.col("pair_items").alias(ITEM), blend.alias("score"))
 
 
 def evaluate_recommenders(lists: dict[str, DataFrame], test: DataFrame, train: DataFrame, n: int, min_rating: int = 4) -> DataFrame:

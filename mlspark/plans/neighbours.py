@@ -39,6 +39,16 @@ def pairwise(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squares, 0.0))
 
 
+def first_best(values: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k largest values in falling order, earlier places first on ties."""
+    if len(values) > k:
+        floor = np.partition(values, len(values) - k)[len(values) - k]
+        places = np.flatnonzero(values >= floor)
+    else:
+        places = np.arange(len(values))
+    return places[(-values[places]).argsort(kind="stable")][:k]
+
+
 def unit(vector: str | Column, zero_axis: int) -> Column:
     """Length-1 form with two spare axes: a zero vector becomes a spare axis, similar to nothing."""
     v = F.transform(F.col(vector) if isinstance(vector, str) else vector, lambda x: x.cast("double"))
@@ -130,7 +140,7 @@ def _search(
     base_type = base.schema["base_id"].dataType.simpleString()
 
     def nearest(q: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query_id": [], "base_id": [], "dist": [], "exact": []})
+        empty = pd.DataFrame(columns=["query_id", "base_id", "dist", "exact"])
         if not len(q) or not len(b):
             return empty
         b = b.sort_values("base_id", kind="stable")
@@ -146,9 +156,9 @@ def _search(
             if within is not None:
                 rows, cols = np.nonzero(distance <= within)
             else:
-                cols = distance.argsort(1, kind="stable")[:, :k]
-                rows = np.repeat(np.arange(len(part)), cols.shape[1])
-                cols = cols.ravel()
+                width = min(k, distance.shape[1])
+                cols = np.concatenate([first_best(-row, width) for row in distance])
+                rows = np.repeat(np.arange(len(part)), width)
                 real = np.isfinite(distance[rows, cols])
                 rows, cols = rows[real], cols[real]
             parts.append(pd.DataFrame({"query_id": who[rows], "base_id": ids[cols], "dist": distance[rows, cols], "exact": exact[rows, cols]}))
@@ -231,7 +241,8 @@ def _hot_lists(hot_rows: DataFrame, k: int, chunk: int) -> DataFrame:
     members = keyed.withColumn("_rn", F.row_number().over(by_id)).filter(F.col("_rn") <= k + 1).select("sig", "id")
     shapes = written(keyed.groupBy("sig").agg(F.min("id").alias("first_id"), F.any_value("vec").alias("vec")), "hot-vectors")
     blocks = max(1, -(-shapes.count() // chunk))
-    block_of = F.pmod(F.xxhash64("sig"), F.lit(blocks))
+    # same type as the replicated block numbers: equal numbers of different types hash apart
+    block_of = F.pmod(F.xxhash64("sig"), F.lit(blocks)).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     left = shapes.select(F.col("sig").alias("sig_a"), F.col("vec").alias("vec_a"), block_of.alias("i")).withColumn("j", every)
     right = shapes.select(
@@ -249,7 +260,7 @@ def _hot_lists(hot_rows: DataFrame, k: int, chunk: int) -> DataFrame:
 
     def best(q: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(b):
-            return pd.DataFrame({"sig_a": [], "sig_b": [], "dot": [], "first_id": []})
+            return pd.DataFrame(columns=["sig_a", "sig_b", "dot", "first_id"])
         b = b.sort_values("first_id", kind="stable")
         index = {d: n for n, d in enumerate(sorted({e["dim"] for vec in b["vec_b"] for e in vec}))}
         base = dense(b["vec_b"], index)
@@ -257,9 +268,9 @@ def _hot_lists(hot_rows: DataFrame, k: int, chunk: int) -> DataFrame:
         for start in range(0, len(q), 512):
             part = q.iloc[start:start + 512]
             dots = np.round(dense(part["vec_a"], index) @ base.T, DIGITS)
-            cols = (-dots).argsort(1, kind="stable")[:, :k + 1]
-            rows = np.repeat(np.arange(len(part)), cols.shape[1])
-            cols = cols.ravel()
+            width = min(k + 1, dots.shape[1])
+            cols = np.concatenate([first_best(row, width) for row in dots])
+            rows = np.repeat(np.arange(len(part)), width)
             parts.append(
                 pd.DataFrame(
                     {
