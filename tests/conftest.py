@@ -11,7 +11,10 @@ from mlspark.session import build_session
 
 @pytest.fixture(scope="session")
 def spark():
-    return build_session(8, "tests", spark__sql__shuffle__partitions="4")
+    # partitions stay apart, so that keys which only look equal cannot meet by luck in a merged one
+    return build_session(
+        8, "tests", spark__sql__shuffle__partitions="4", spark__sql__adaptive__coalescePartitions__enabled="false"
+    )
 
 
 @pytest.fixture(scope="session")
