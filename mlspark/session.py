@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_BASE: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def build_session(cpus: int | str = "*", app: str = "mlspark", **conf: str) -> SparkSession:
@@ -65,6 +68,24 @@ def written(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so that they need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    package = os.path.basename(root)
+    # the driver's own file server hands the archive out; executors never open this path
+    archive = os.path.join(tempfile.mkdtemp(prefix=f"{package}-"), f"{package}.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                out.write(path, os.path.join(package, os.path.relpath(path, root)))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
+
 def partitions(spark: SparkSession) -> int:
     return max(2, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
