@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -15,8 +14,6 @@ from mlspark.session import ship
 
 # bytes of text handled at once inside a task; a longer single text is handled alone
 SLICE_BYTES = 4 << 20
-# ASCII white space, which separates words
-SPACES = b" \t\n\x0b\x0c\r"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,29 +45,48 @@ def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             yield batch.slice(a, b - a)
 
 
-def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
-    """Texts as UTF-8 bytes; a missing text counts as empty."""
-    return [t.encode() if t else b"" for t in batch.column(column).to_pylist()]
-
-
 class Words:
-    """Words of a slice of texts: dictionary codes, the dictionary, and where each text's words start."""
-
-    def __init__(self, texts: list[bytes], lower: bool = False) -> None:
-        lists = [(t.lower() if lower else t).split() for t in texts]
-        counts = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
-        self.starts = np.concatenate([[0], np.cumsum(counts)])
-        index: dict[bytes, int] = {}
-        place = index.setdefault
-        flat = (place(w, len(index)) for ws in lists for w in ws)
-        self.codes = np.fromiter(flat, dtype=np.int64, count=int(self.starts[-1]))
-        self.words = list(index)
+    """White-space words of a slice of texts: codes into a dictionary, and where each text's words start."""
+
+    def __init__(self, texts: pa.Array, lower: bool = False) -> None:
+        column = pc.fill_null(texts.cast(pa.large_string()), "")
+        lists = pc.ascii_split_whitespace(pc.utf8_lower(column) if lower else column)
+        flat, bounds = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        # white space at either end of a text leaves an empty word there
+        filled = pc.greater(pc.binary_length(flat), 0)
+        kept = np.concatenate([[0], np.cumsum(filled.to_numpy(zero_copy_only=False))])
+        self.starts = kept[bounds].astype(np.int64)
+        encoded = flat.filter(filled).dictionary_encode()
+        self.codes = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        self.dictionary = encoded.dictionary
+        self.counts = np.diff(self.starts)
+
+    def owners(self) -> np.ndarray:
+        """The text that each word belongs to."""
+        return np.repeat(np.arange(len(self.counts)), self.counts)
+
+    def letters(self) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of the dictionary words one after the other, and where each word starts."""
+        offsets = np.frombuffer(self.dictionary.buffers()[1], dtype=np.int64)[self.dictionary.offset :][: len(self.dictionary) + 1]
+        raw = self.dictionary.buffers()[2]
+        data = np.frombuffer(raw, dtype=np.uint8)[offsets[0] : offsets[-1]] if raw is not None and raw.size else np.empty(0, np.uint8)
+        return data, offsets - offsets[0]
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each dictionary word."""
-        low = np.fromiter(map(zlib.crc32, self.words), dtype=np.uint64, count=len(self.words))
-        high = np.fromiter((zlib.crc32(w, 0x9E3779B9) for w in self.words), dtype=np.uint64, count=len(self.words))
-        return mix(low | (high << np.uint64(32)))
+        data, offsets = self.letters()
+        return span_hashes(data, offsets)
+
+
+def span_hashes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each non-empty byte range ``offsets[i]`` to ``offsets[i + 1]``."""
+    if len(offsets) < 2:
+        return np.empty(0, np.uint64)
+    sizes = np.diff(offsets)
+    powers = np.cumprod(np.full(int(sizes.max()) + 1, 0x9E3779B97F4A7C15, dtype=np.uint64))
+    at = np.arange(len(data)) - np.repeat(offsets[:-1], sizes)
+    terms = mix(data.astype(np.uint64) + np.uint64(1)) * powers[at]
+    return mix(np.add.reduceat(terms, offsets[:-1]))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -89,10 +105,6 @@ def crc_remainder(column: str, n: int) -> Column:
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(n))
 
 
-def unsigned(text: bytes) -> int:
-    return zlib.crc32(text) & 0xFFFFFFFF
-
-
 def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, modulus: int, held: int, per_class: int) -> list:
     """At most ``per_class`` labelled texts of each class for fitting, as (doc_id, label, text).
 
