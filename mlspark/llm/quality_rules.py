@@ -1,6 +1,6 @@
 """Quality rules: base counts and a hashed n-gram log-likelihood ratio (operator 5).
 
-Every text is described by its words and word pairs, hashed into ``BUCKETS`` buckets.  The raw corpus
+Every text is described by its runs of ``GRAM`` bytes, hashed into ``BUCKETS`` buckets.  The raw corpus
 multinomial counts all documents.  The trusted multinomial counts documents labelled as good, at most
 ``TRUSTED`` of them, chosen by the hash of their id.  A document's score is the mean over its n-grams
 of log(trusted / raw), in fixed point, so it does not depend on how rows are batched; it is kept if it
@@ -21,12 +21,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mlspark.llm.common import Words, arrow_map, mix, slices
+from mlspark.llm.common import Words, arrow_map, slices
 from mlspark.session import ship
 
-BUCKETS = 1 << 16
+BITS = 16
+BUCKETS = 1 << BITS
 TRUSTED = 20_000
-THRESHOLD = -0.1
+GRAM = 4
+THRESHOLD = -0.4
+SMOOTHING = 20.0
 UNIT = 1 << 20
 MIN_WORDS = 50
 SYMBOLS = "[#*$%&|<>]"
@@ -39,14 +42,22 @@ def trusted_ids(labels: DataFrame, limit: int = TRUSTED) -> DataFrame:
     return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).select(F.col("doc_id").alias("_trusted_id"))
 
 
-def gram_buckets(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and owner of every word and of every pair of neighbouring words of one text."""
-    owners, hashes = words.owners(), words.hashes()[words.codes] if len(words.codes) else np.empty(0, np.uint64)
-    same = owners[1:] == owners[:-1]
-    pairs = mix(hashes[:-1] * np.uint64(0xD6E8FEB86659FD93) + hashes[1:])[same]
-    mask = np.uint64(BUCKETS - 1)
-    buckets = np.concatenate([hashes & mask, pairs & mask]).astype(np.int64)
-    return buckets, np.concatenate([owners, owners[1:][same]])
+def gram_buckets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket of the run of ``GRAM`` bytes that starts at each byte, -1 where the text ends sooner, and text bounds."""
+    column = pc.fill_null(texts, "").cast(pa.large_string())
+    bounds = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset :][: len(column) + 1]
+    raw = column.buffers()[2]
+    data = np.frombuffer(raw, dtype=np.uint8)[bounds[0] : bounds[-1]] if raw is not None else np.empty(0, np.uint8)
+    bounds = bounds - bounds[0]
+    padded = np.concatenate([data, np.zeros(GRAM, np.uint8)]).astype(np.uint32)
+    runs = np.zeros(len(data), np.uint32)
+    for k in range(GRAM):
+        runs |= padded[k : k + len(data)] << np.uint32(8 * k)
+    buckets = ((runs * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)).astype(np.int64)
+    for k in range(1, GRAM):
+        late = bounds[1:] - k
+        buckets[late[late >= bounds[:-1]]] = -1
+    return buckets, bounds
 
 
 def bucket_counts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
@@ -59,10 +70,11 @@ def bucket_counts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
         raw, good = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for batch in batches:
             for part in slices(batch):
-                buckets, owners = gram_buckets(Words(part.column("text")))
+                buckets, bounds = gram_buckets(part.column("text"))
                 flags = part.column("good").to_numpy(zero_copy_only=False).astype(bool)
-                raw += np.bincount(buckets, minlength=BUCKETS)
-                good += np.bincount(buckets[flags[owners]], minlength=BUCKETS)
+                raw += np.bincount(buckets + 1, minlength=BUCKETS + 1)[1:]
+                inside = np.repeat(flags, np.diff(bounds))
+                good += np.bincount(buckets[inside] + 1, minlength=BUCKETS + 1)[1:]
         used = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(raw[used]), pa.array(good[used])], ["bucket", "raw", "trusted"])
 
@@ -73,17 +85,16 @@ def bucket_counts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
 def log_ratios(counts: DataFrame) -> np.ndarray:
     """log(trusted / raw) of each bucket in fixed point; collects at most ``BUCKETS`` rows.
 
-    The trusted multinomial is smoothed towards the raw one with the weight of ``BUCKETS`` n-grams, so
-    a bucket that the trusted texts never use gets a bounded negative value.
+    Both shares get ``SMOOTHING`` n-grams per bucket, so rare buckets say little and a bucket that the
+    trusted texts never use gets a bounded negative value.
     """
     raw, good = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for row in counts.collect():
         raw[row["bucket"]], good[row["bucket"]] = row["raw"], row["trusted"]
     if not good.sum():
         return np.zeros(BUCKETS, np.int64)
-    p = (raw + 1) / (raw.sum() + BUCKETS)
-    q = (good + BUCKETS * p) / (good.sum() + BUCKETS)
-    return np.rint(np.log(q / p) * UNIT).astype(np.int64)
+    expected = good * (raw.sum() / good.sum())
+    return np.rint(np.log((expected + SMOOTHING) / (raw + SMOOTHING)) * UNIT).astype(np.int64)
 
 
 def repeated_words(codes: np.ndarray) -> int:
@@ -133,10 +144,10 @@ def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, limi
     def score(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         words = Words(batch.column("text"))
         base = base_counts(batch.column("text"), words)
-        buckets, owners = gram_buckets(words)
-        sums, grams = np.zeros(batch.num_rows, np.int64), np.bincount(owners, minlength=batch.num_rows)
-        np.add.at(sums, owners, ratios[buckets])
-        mean = sums / np.maximum(grams, 1) / UNIT
+        buckets, bounds = gram_buckets(batch.column("text"))
+        totals = np.concatenate([[0], np.cumsum(np.where(buckets < 0, 0, ratios[buckets]))])
+        grams = np.maximum(np.diff(bounds) - GRAM + 1, 1)
+        mean = np.diff(totals[bounds]) / grams / UNIT
         kept = ~base[-1] & (mean >= threshold)
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, base), pa.array(kept), pa.array(mean)], names)
 
