@@ -5,19 +5,48 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from mlspark.llm import packing
+from mlspark.llm import near_dedup, packing, quality_rules, secrets, toxicity
+from mlspark.llm.common import table
 from mlspark.session import written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the network calls toxic go."""
+    return toxicity.keep_clean(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rules or are unlike the trusted ones go."""
+    return quality_rules.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of exact and near copies stays."""
+    return near_dedup.deduplicate(docs)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in the texts are masked; n_chars follows the text."""
+    masked = secrets.redact(docs, secrets.fit(docs))
+    return masked.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else masked
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs what is left into sequences; the last stage returns pieces instead of documents."""
     return packing.pack_documents(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("packing", pack)]
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("quality rules", drop_low_quality),
+    ("near-dedup", drop_copies),
+    ("secret scans", mask_secrets),
+    ("packing", pack),
+]
 
 #: Trained models and token ids cannot be stated in SQL; the tests hold the result against brute force.
 ORACLE_SQL: str | None = None
@@ -27,5 +56,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applies the stages to the documents, each to the written result of the one before."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mlspark.llm import near_dedup, packing, quality_rules, toxicity
+from mlspark.llm import near_dedup, packing, quality_rules, secrets, toxicity
 from mlspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_packing")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op9_secret_scan")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secrets.scan(docs, secrets.fit(docs))

@@ -136,19 +136,33 @@ def base_counts(texts: pa.Array, words: Words) -> list[np.ndarray]:
     return [n_words, chars.astype(np.int64), symbols.astype(np.int64), lines, repeats, failed]
 
 
+def mean_ratios(texts: pa.Array, ratios: np.ndarray) -> np.ndarray:
+    """Mean log ratio over the n-grams of each text; 0 for a text without any."""
+    buckets, bounds = gram_buckets(texts)
+    totals = np.concatenate([[0], np.cumsum(np.where(buckets < 0, 0, ratios[buckets]))])
+    return np.diff(totals[bounds]) / np.maximum(np.diff(bounds) - GRAM + 1, 1) / UNIT
+
+
 def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, limit: int = TRUSTED) -> DataFrame:
     """Base counts, score and verdict of every document."""
     ratios = log_ratios(bucket_counts(docs, trusted_ids(labels, limit)))
     names = ["doc_id", *(part.split()[0] for part in BASE.split(", ")), "kept", "score"]
 
     def score(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        words = Words(batch.column("text"))
-        base = base_counts(batch.column("text"), words)
-        buckets, bounds = gram_buckets(batch.column("text"))
-        totals = np.concatenate([[0], np.cumsum(np.where(buckets < 0, 0, ratios[buckets]))])
-        grams = np.maximum(np.diff(bounds) - GRAM + 1, 1)
-        mean = np.diff(totals[bounds]) / grams / UNIT
+        base = base_counts(batch.column("text"), Words(batch.column("text")))
+        mean = mean_ratios(batch.column("text"), ratios)
         kept = ~base[-1] & (mean >= threshold)
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, base), pa.array(kept), pa.array(mean)], names)
 
     return arrow_map(docs.select("doc_id", "text"), score, f"doc_id long, {BASE}, kept boolean, score double")
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, limit: int = TRUSTED) -> DataFrame:
+    """The rows that pass, with all their columns."""
+    ratios = log_ratios(bucket_counts(docs, trusted_ids(labels, limit)))
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        failed = base_counts(batch.column("text"), Words(batch.column("text")))[-1]
+        yield batch.filter(pa.array(~failed & (mean_ratios(batch.column("text"), ratios) >= threshold)))
+
+    return arrow_map(docs, run, docs.schema)

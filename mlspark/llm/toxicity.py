@@ -330,22 +330,36 @@ def score(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Dat
     return apply(docs, model)
 
 
+def document_scores(p: Params | None, texts: pa.Array) -> np.ndarray:
+    """Score of each text, rounded so that it does not depend on how rows are batched."""
+    if p is None:
+        return np.zeros(len(texts))
+    cut, slope = p["scale"]
+    logits = slope * (worst_logits(p, Words(texts, lower=True)) - cut) + math.log(CUT / (1 - CUT))
+    value = np.round(1 / (1 + np.exp(-np.clip(logits, -50, 50))), 6)
+    value[np.isneginf(logits)] = 0.0
+    return value
+
+
 def apply(docs: DataFrame, model: Params | None) -> DataFrame:
     """Scores every whole text with a fitted network."""
     names = ["doc_id", "held_out", "score", "predicted"]
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        p = shared.value
-        if p is None:
-            value = np.zeros(batch.num_rows)
-        else:
-            cut, slope = p["scale"]
-            logits = slope * (worst_logits(p, Words(batch.column("text"), lower=True)) - cut) + math.log(CUT / (1 - CUT))
-            value = np.round(1 / (1 + np.exp(-np.clip(logits, -50, 50))), 6)
-            value[np.isneginf(logits)] = 0.0
+        value = document_scores(shared.value, batch.column("text"))
         predicted = (value >= CUT).astype(np.int32)
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(value), pa.array(predicted)], names)
 
     folds = docs.select("doc_id", "text", (crc_remainder("doc_id", MODULUS) == HELD_OUT).alias("held_out"))
     return arrow_map(folds, run, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
+    """The rows whose score stays below the cut, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(train(labelled_sample(docs, labels, "toxic", MODULUS, HELD_OUT, per_class)))
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        yield batch.filter(pa.array(document_scores(shared.value, batch.column("text")) < CUT))
+
+    return arrow_map(docs, run, docs.schema)
