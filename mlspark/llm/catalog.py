@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mlspark.llm import near_dedup, packing, pii, quality_rules, secrets, toxicity
+from mlspark.llm import near_dedup, neighbours, packing, pii, quality_classifier, quality_rules, secrets, toxicity
 from mlspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,7 +48,17 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+@query("op8_quality_classifier")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op9_secret_scan")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return secrets.scan(docs, secrets.fit(docs))
+
+
+@query("op10_nearest_neighbours")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
