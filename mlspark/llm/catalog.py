@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mlspark.llm import near_dedup, neighbours, packing, pii, quality_classifier, quality_rules, secrets, toxicity
+from mlspark.llm import near_dedup, neighbours, packing, pieces, pii, quality_classifier, quality_rules, secrets, toxicity, warc
 from mlspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,11 +38,21 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op4_warc_revisits", warc.ORACLE_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.resolve(warc.page_records(table(spark, sf_dir, "pages")))
+
+
 @query("op5_quality_rules")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op6_piece_nbest")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"))
+
+
 @query("op7_packing")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
