@@ -241,6 +241,37 @@ def m6(spark, sf):
     return spark.read.schema(log.schema).parquet(path)
 
 
+class Above:
+    """An estimator without training: class 1, as a double, where a column exceeds a bound."""
+
+    def __init__(self, column: str, bound: float) -> None:
+        self.column, self.bound = column, bound
+
+    def fit(self, _):
+        return self
+
+    def transform(self, df):
+        return df.withColumn("prediction", (F.col(self.column) > self.bound).cast("double"))
+
+
+@query(
+    "M6_trial_metrics",
+    """WITH t AS (SELECT unnest([10, 25, 40, 60]) AS bound), s AS (
+      SELECT bound, sum(CASE WHEN l_quantity > bound AND l_returnflag = 'R' THEN 1 ELSE 0 END) AS tp,
+        sum(CASE WHEN l_quantity > bound THEN 1 ELSE 0 END) AS predicted, sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS support
+      FROM lineitem, t GROUP BY bound)
+    SELECT CAST(bound AS VARCHAR) AS bound, CASE WHEN predicted = 0 THEN 0.0 ELSE round(CAST(tp AS DOUBLE) / predicted, 9) END AS precision,
+      round(CAST(tp AS DOUBLE) / support, 9) AS recall, round(2.0 * tp / (predicted + support), 9) AS f1,
+      round(CASE WHEN CAST(tp AS DOUBLE) / support >= 0.1 THEN 2.0 * tp / (predicted + support) ELSE CAST(tp AS DOUBLE) / support - 1 END, 9) AS score FROM s""",
+)
+def m6_metrics(spark, sf):
+    """The tuner's figures for an integer label and double predictions, which SQL can state for fixed rules."""
+    rows = table(spark, sf, "lineitem").select("l_quantity", (F.col("l_returnflag") == "R").cast("int").alias("label"))
+    _, log = M.tune(rows, rows, lambda params: Above("l_quantity", params["bound"]), [{"bound": b} for b in (10, 25, 40, 60)], "label")
+    figures = [F.round(c, 9).alias(c) for c in ("precision", "recall", "f1", "score")]
+    return log.select(F.col("params")["bound"].alias("bound"), *figures)
+
+
 @query("M7_cross_validate")
 def m7(spark, sf):
     rows = price_rows(spark, sf)

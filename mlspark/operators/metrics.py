@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mlspark.operators.windows import topn_per_group
 from mlspark.plans.ordered import null_safe_join, running_sums
@@ -60,17 +61,26 @@ def ratio(a: Column, b: Column) -> Column:
     return F.when(b == 0, F.lit(0.0)).otherwise(a / b)
 
 
+def class_name(df: DataFrame, col: str) -> Column:
+    """The class as text, the same for 1 and 1.0: estimators predict doubles for integer labels."""
+    c = F.col(col)
+    if isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
+        return F.when(c == F.floor(c), c.cast("long").cast("string")).otherwise(c.cast("string"))
+    return c.cast("string")
+
+
 def classification_report(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
     """Per class precision, recall, F1 and support, then accuracy, macro and weighted averages.
 
     Everything after the first aggregate works on the confusion table, one row per class pair.
     """
-    cells = confusion_matrix(df, label, prediction, by)
+    named = df.withColumn(label, class_name(df, label)).withColumn(prediction, class_name(df, prediction))
+    cells = confusion_matrix(named, label, prediction, by)
     hit = F.when(F.col(label) == F.col(prediction), F.col("n")).otherwise(0)
     zero = F.lit(0).cast("long")
     sides = F.array(
-        F.struct(F.col(label).cast("string").alias("class"), F.col("n").alias("support"), zero.alias("predicted"), hit.alias("tp")),
-        F.struct(F.col(prediction).cast("string").alias("class"), zero.alias("support"), F.col("n").alias("predicted"), zero.alias("tp")),
+        F.struct(F.col(label).alias("class"), F.col("n").alias("support"), zero.alias("predicted"), hit.alias("tp")),
+        F.struct(F.col(prediction).alias("class"), zero.alias("support"), F.col("n").alias("predicted"), zero.alias("tp")),
     )
     per_class = (
         cells.select(*by, F.inline(sides))

@@ -223,9 +223,8 @@ def tune(
     rows = []
     for number, params in enumerate(trials):
         scored = make(params).fit(train).transform(valid)
-        report = classification_report(scored, label, "prediction").filter(F.col("class").isin(str(positive), f"{positive}.0"))
-        sums = report.agg(F.max("precision"), F.max("recall"), F.max("f1")).first()
-        precision, recall, f1 = (float(x or 0.0) for x in sums)
+        row = classification_report(scored, label, "prediction").filter(F.col("class") == str(positive)).first()
+        precision, recall, f1 = (row["precision"], row["recall"], row["f1"]) if row else (0.0, 0.0, 0.0)
         rows.append((number, {k: str(v) for k, v in params.items()}, precision, recall, f1, trial_score(recall, f1)))
     log = train.sparkSession.createDataFrame(
         rows, "trial int, params map<string, string>, precision double, recall double, f1 double, score double"
@@ -324,8 +323,8 @@ GATE_F1 = 0.90
 
 
 def gate_value(report: DataFrame, cls: str = GATE_CLASS, metric: str = "f1") -> float:
-    row = report.filter(F.col("class").isin(cls, f"{cls}.0")).agg(F.max(metric)).first()
-    return float(row[0] or 0.0)
+    row = report.filter(F.col("class") == cls).first()
+    return float(row[metric]) if row else 0.0
 
 
 def promote_if(model: PipelineModel, report: DataFrame, path: str, threshold: float = GATE_F1, cls: str = GATE_CLASS) -> bool:

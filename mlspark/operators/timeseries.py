@@ -20,10 +20,12 @@ from mlspark.functions.columns import inverse_minmax
 from mlspark.operators.features import fit_minmax, minmax
 from mlspark.operators.metrics import best_by, regression_metrics
 from mlspark.operators.windows import chronological_split, supervised_windows
+from mlspark.plans.ordered import null_safe_join
 from mlspark.session import written
 
 # fixed value: 5 % critical value of the Dickey-Fuller test with a constant, large sample
 CRITICAL = -2.86
+TOO_SHORT = "series too short"
 
 
 # ---- unit root ------------------------------------------------------------------------------------
@@ -45,7 +47,10 @@ def unit_root_test(df: DataFrame, series: str, ts: str, value: str, critical: fl
 
 
 def augmented_unit_root_test(df: DataFrame, series: str, ts: str, value: str, lags: int | None = None, critical: float = CRITICAL) -> DataFrame:
-    """Augmented statistic; without ``lags`` the number is chosen by AIC up to 12 (n / 100) ** 0.25."""
+    """Augmented statistic; without ``lags`` the number is chosen by AIC up to 12 (n / 100) ** 0.25.
+
+    A series too short for the lags asked for keeps its row, with missing results and the reason.
+    """
     kind = df.schema[series].dataType.simpleString()
 
     def fit(y: np.ndarray, k: int, top: int) -> tuple[float, float, int]:
@@ -62,16 +67,18 @@ def augmented_unit_root_test(df: DataFrame, series: str, ts: str, value: str, la
 
     def test(rows: pd.DataFrame) -> pd.DataFrame:
         y = rows.sort_values(ts)[value].to_numpy(float)
-        most = lags if lags is not None else int(np.ceil(12 * (len(y) / 100) ** 0.25))
-        most = max(0, min(most, (len(y) - 1) // 2 - 2))
+        # a fit with k lags needs more rows than its k + 2 coefficients
+        most = lags if lags is not None else max(0, min(int(np.ceil(12 * (len(y) / 100) ** 0.25)), (len(y) - 1) // 2 - 2))
+        if len(y) - 1 - most < most + 3:
+            row = (rows[series].iloc[0], None, most, max(0, len(y) - 1 - most), critical, None, TOO_SHORT)
+            return pd.DataFrame([row], columns=cols)
         best = lags if lags is not None else min(range(most + 1), key=lambda k: fit(y, k, most)[1])
-        best = min(best, most)
         stat, _, n = fit(y, best, best)
-        return pd.DataFrame([(rows[series].iloc[0], stat, best, n, critical, bool(stat < critical))], columns=cols)
+        return pd.DataFrame([(rows[series].iloc[0], stat, best, n, critical, bool(stat < critical), None)], columns=cols)
 
-    cols = [series, "statistic", "lags", "n", "critical_value", "stationary"]
+    cols = [series, "statistic", "lags", "n", "critical_value", "stationary", "reason"]
     return df.select(series, ts, value).groupBy(series).applyInPandas(
-        test, f"{series} {kind}, statistic double, lags int, n long, critical_value double, stationary boolean"
+        test, f"{series} {kind}, statistic double, lags int, n long, critical_value double, stationary boolean, reason string"
     )
 
 
@@ -99,11 +106,17 @@ def _shifted(values: np.ndarray, lags: Sequence[int], constant: bool) -> np.ndar
     return np.column_stack(cols)
 
 
+def _products(short: int, seasonal: int, period: int) -> list[int]:
+    """Lags of the product of a short and a seasonal polynomial, cross terms included."""
+    return sorted({i + period * j for i in range(short + 1) for j in range(seasonal + 1)} - {0})
+
+
 def _one_step(y: np.ndarray, order: tuple[int, int, int], seasonal: tuple[int, int, int, int], start: int):
     """One-step forecasts for positions >= start, each from all earlier values, and the last fit's AIC, BIC.
 
     Two steps: an expanding long autoregression gives one-step errors; then the differenced series is
-    regressed on its lags and on lagged errors.
+    regressed on its lags and on lagged errors, at every lag of the multiplied polynomials.  None when
+    the values before ``start`` are fewer than the model needs; no lag is ever left out.
     """
     (p, d, q), (sp, sd, sq, s) = order, seasonal
     w, lost = y.astype(float), 0
@@ -112,19 +125,17 @@ def _one_step(y: np.ndarray, order: tuple[int, int, int], seasonal: tuple[int, i
             w = np.concatenate([np.zeros(min(step, len(w))), w[step:] - w[:-step]]) if len(w) > step else np.zeros_like(w)
             lost += step
     constant = d + sd == 0
-    ar = [*range(1, p + 1), *[s * j for j in range(1, sp + 1)]]
-    ma = [*range(1, q + 1), *[s * j for j in range(1, sq + 1)]]
-    # stay within the history before the first forecast
-    room = max(0, start - lost - 2)
-    long = [j for j in {*range(1, p + q + 2), *ar} if j <= max(1, room // 3)]
-    base = _shifted(w, sorted(long), constant)
+    ar, ma = _products(p, sp, s), _products(q, sq, s)
+    long = sorted({*range(1, p + q + 2), *ar, *ma})
     first = lost + max(long)
+    begin = first + len(long) + constant if ma else lost + max([*ar, 1])
+    if start < begin + len(ar) + len(ma) + constant + 1:
+        return None
+    base = _shifted(w, long, constant)
     beta = _expanding(base, w, first)
     errors = w - (base * beta).sum(1)
     errors[: first + base.shape[1]] = 0.0
-    ar, ma = [j for j in ar if j <= room // 2], [j for j in ma if j <= room // 2]
     x = np.column_stack([m for m in (_shifted(w, ar, constant), _shifted(errors, ma, False) if ma else None) if m is not None])
-    begin = lost + max([*ar, *ma, 1])
     coef = _expanding(x, w, begin)
     forecast = (x * coef).sum(1) + (y - w)
     used = np.arange(len(y)) >= begin
@@ -147,23 +158,29 @@ def rolling_forecast(
     test_ratio: float = 0.2,
     model: str = "ARIMA",
 ) -> DataFrame:
-    """(series, ts, actual, forecast, aic, bic, model) on the last part of each series; every step is
-    refitted on all earlier values and looks one step ahead."""
+    """(series, ts, actual, forecast, aic, bic, model, reason) on the last part of each series; every step
+    is refitted on all earlier values and looks one step ahead.
+
+    A series whose first part is too short for the model keeps its rows, without forecasts and with the
+    reason; one too short to be split shows all its rows so.
+    """
     kinds = {c: df.schema[c].dataType.simpleString() for c in (series, ts)}
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(ts)
         y = rows[value].to_numpy(float)
         start = int(len(y) * (1 - test_ratio))
-        if start < 4 or start >= len(y):
-            return pd.DataFrame(columns=[series, ts, "actual", "forecast", "aic", "bic", "model"])
-        forecast, aic, bic = _one_step(y, order, seasonal, start)
+        start = start if start < len(y) else 0
+        fitted = _one_step(y, order, seasonal, start)
         out = rows.iloc[start:][[series, ts]].copy()
-        return out.assign(actual=y[start:], forecast=forecast[start:], aic=aic, bic=bic, model=model)
+        if fitted is None:
+            return out.assign(actual=y[start:], forecast=np.nan, aic=np.nan, bic=np.nan, model=model, reason=TOO_SHORT)
+        forecast, aic, bic = fitted
+        return out.assign(actual=y[start:], forecast=forecast[start:], aic=aic, bic=bic, model=model, reason=None)
 
-    return df.select(series, ts, value).groupBy(series).applyInPandas(
-        run, f"{series} {kinds[series]}, {ts} {kinds[ts]}, actual double, forecast double, aic double, bic double, model string"
-    )
+    columns = f"{series} {kinds[series]}, {ts} {kinds[ts]}, actual double, forecast double, aic double, bic double, model string, reason string"
+    fitted = df.select(series, ts, value).groupBy(series).applyInPandas(run, columns)
+    return fitted.withColumns({c: F.nanvl(c, F.lit(None).cast("double")) for c in ("forecast", "aic", "bic")})
 
 
 def seasonal_rolling_forecast(df, series, ts, value, order=(1, 1, 1), seasonal=(1, 1, 1, 12), test_ratio=0.2, model="SARIMA") -> DataFrame:
@@ -178,13 +195,17 @@ def naive_forecast(df: DataFrame, series: str, ts: str, value: str, lag: int = 1
 
 
 def compare_forecasts(forecasts: Sequence[DataFrame], series: str) -> tuple[DataFrame, DataFrame]:
-    """(metrics per series and model, best model per series by RMSE)."""
+    """(metrics per series and model, best model per series by RMSE).
+
+    A model without any forecast for a series keeps its row, with missing metrics, and is never best.
+    """
     both = None
     for f in forecasts:
-        rows = f.select(series, "model", "actual", "forecast").filter("forecast IS NOT NULL")
+        rows = f.select(series, "model", "actual", "forecast")
         both = rows if both is None else both.unionByName(rows)
-    table = regression_metrics(both, "actual", "forecast", [series, "model"])
-    return table, best_by(table, "model", "rmse", largest=False, by=[series])
+    table = regression_metrics(both.filter("forecast IS NOT NULL"), "actual", "forecast", [series, "model"])
+    best = best_by(table, "model", "rmse", largest=False, by=[series])
+    return null_safe_join(both.select(series, "model").distinct(), table, [series, "model"], "left"), best
 
 
 # ---- decomposition -------------------------------------------------------------------------------------
@@ -254,7 +275,7 @@ def structural_decompose(df: DataFrame, series: str, ts: str, value: str, period
     """Level, slope and seasonal parts with 95 % bands, and the one-step fit.
 
     The four noise variances come from a coarse grid on the likelihood; a fixed-interval smoother gives
-    the parts.
+    the parts.  A series shorter than a period and three values keeps its rows, with missing parts.
     """
     kinds = {c: df.schema[c].dataType.simpleString() for c in (series, ts)}
     parts = ["level", "slope", "seasonal"]
@@ -264,7 +285,7 @@ def structural_decompose(df: DataFrame, series: str, ts: str, value: str, period
         rows = rows.sort_values(ts)
         y = rows[value].to_numpy(float)
         if len(y) < period + 3:
-            return pd.DataFrame(columns=columns)
+            return rows[[series, ts]].assign(**{value: y}).reindex(columns=columns)
         scale = float(np.std(y)) or 1.0
         u = (y - y.mean()) / scale
         t, z = _system(period)
