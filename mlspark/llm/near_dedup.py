@@ -10,9 +10,9 @@ points whatever its weights.  Two slots agree with the probability of the weight
 Signatures are cut into bands; texts that share a band hash meet in a bucket.  Exact copies (equal word
 sequences) are one text.  In each bucket all texts are compared with one pivot, the text that shares
 most buckets; the multisets' exact weighted Jaccard similarity decides.  Links build components.  Where
-a bucket still holds several components, further pivots follow, eight times more in each turn, until
-every pair of different components that the triangle inequality leaves open has been compared, so no
-pair is lost and a group never turns into all its pairs.
+a bucket still holds several components, the texts outside the pivot's component are compared with all
+others of the bucket, block by block inside tasks of bounded size, so no link between components is
+lost; a task returns one pair per union, never all pairs of a group.
 
 Defined cases: texts without words (missing, empty, white space) are copies of each other; a missing id
 takes part, and a class without any id has a missing class id; repeated rows get equal classes; an
@@ -26,6 +26,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +38,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 20, 5
 SLOTS = BANDS * ROWS
 EPS = 1e-9
-PIVOT_GROWTH, PIVOT_TURNS = 8, 3
+BLOCK, BLOCK_BYTES = 512, 16 << 20
+COLUMNS = 2048
 
 
 def shingles(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -130,7 +132,7 @@ def content_key(text: str | None) -> bytes:
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, bands) of every row."""
+    """(doc_id, key, bands, size) of every row; size is the text's length in bytes."""
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         texts = batch.column("text")
@@ -140,9 +142,10 @@ def signed(docs: DataFrame) -> DataFrame:
         keys = pa.array([content_key(t) for t in texts.to_pylist()], pa.binary())
         offsets = np.concatenate([[0], np.cumsum(np.where(words.counts > 0, BANDS, 0))]).astype(np.int32)
         listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands[words.counts > 0].ravel()))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), keys, listed], ["doc_id", "key", "bands"])
+        size = pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), keys, listed, size], ["doc_id", "key", "bands", "size"])
 
-    return arrow_map(docs.select("doc_id", "text"), run, "doc_id long, key binary, bands array<long>")
+    return arrow_map(docs.select("doc_id", "text"), run, "doc_id long, key binary, bands array<long>, size long")
 
 
 def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -198,19 +201,16 @@ def with_component(df: DataFrame, found: DataFrame) -> DataFrame:
     return df.join(found, "key", "left").withColumn("component", F.coalesce("component", "key"))
 
 
-def ordered(a: str, b: str) -> list:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
-
-
 def linked_components(docs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Components over the distinct texts (key, doc_id, bands)."""
+    """Components over the distinct texts (key, doc_id, bands, size)."""
     rows = texts.select("key", F.explode("bands").alias("bucket"))
     many = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     shared = written(rows.join(many, "bucket"), "buckets")
     weight = shared.groupBy("key").agg(F.sum("n").alias("weight"))
     ranked = shared.join(weight, "key")
     pivots = ranked.groupBy("bucket").agg(F.max(F.struct("weight", "key")).getField("key").alias("pivot"))
-    members = written(shared.join(pivots, "bucket"), "members")  # bucket, key, n, pivot
+    sizes = texts.select("key", "size")
+    members = written(shared.join(pivots, "bucket").join(sizes, "key").select("bucket", "key", "pivot", "size"), "members")
 
     # texts that meet another one, once each
     wanted = members.select("key").distinct().join(texts.select("key", "doc_id"), "key").select("doc_id").distinct()
@@ -222,42 +222,99 @@ def linked_components(docs: DataFrame, texts: DataFrame, similarity: float) -> D
 
     whole = written(arrow_map(named.select("text"), name, "key binary, text string").dropDuplicates(["key"]), "texts")
 
-    first = members.filter("key <> pivot").select(*ordered("key", "pivot")).distinct()
-    known = written(similarities(first, whole), "similar")
-    links = known.filter(F.col("similarity") >= similarity - EPS)
+    first = members.filter("key <> pivot").select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")).distinct()
+    links = similarities(first, whole).filter(F.col("similarity") >= similarity - EPS).select("a", "b")
+    links = written(links, "links")
     found = written(components(links), "components")
-    for turn in range(1, PIVOT_TURNS + 1):
-        placed = with_component(members, found)
-        several = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("bucket")
-        still = placed.join(several, "bucket")
-        distances = known.select("a", "b", (1 - F.col("similarity")).alias("far"))
-        still = still.withColumn("a", F.least("key", "pivot")).withColumn("b", F.greatest("key", "pivot"))
-        still = still.join(distances, ["a", "b"], "left").withColumn("far", F.coalesce("far", F.lit(0.0))).drop("a", "b", "pivot")
-        share = F.lit(1.0) if turn == PIVOT_TURNS else F.lit(float(PIVOT_GROWTH**turn)) / F.col("n")
-        chance = F.pmod(F.xxhash64("bucket", "key"), F.lit(1 << 20)) / F.lit(1 << 20)
-        still = written(still.withColumn("chosen", chance < share), "open")
-        if still.isEmpty():
-            break
-        x, y = still.filter("chosen").alias("x"), still.alias("y")
-        meet = (
-            (F.col("x.bucket") == F.col("y.bucket"))
-            & (F.col("x.component") != F.col("y.component"))
-            & (F.abs(F.col("x.far") - F.col("y.far")) <= 1 - similarity + EPS)
-        )
-        pairs = x.join(y, meet).select(*ordered("x.key", "y.key")).distinct().join(known, ["a", "b"], "left_anti")
-        fresh = written(similarities(pairs, whole), "similar")
-        known = known.unionByName(fresh)
-        new = fresh.filter(F.col("similarity") >= similarity - EPS)
-        if not new.isEmpty():
-            links = links.unionByName(new)
-            found = written(components(links), "components")
-    return found
+    more = written(open_links(members, found, whole, similarity), "links")
+    return found if more.isEmpty() else written(components(links.unionByName(more)), "components")
+
+
+def open_links(members: DataFrame, found: DataFrame, whole: DataFrame, similarity: float) -> DataFrame:
+    """Links between different components that share a bucket, at most a spanning forest per cell.
+
+    In a bucket, the texts of the pivot's component are one side and the others the rest.  Both are cut
+    into blocks of ``BLOCK`` texts or ``BLOCK_BYTES`` bytes, and each block of the rest meets each block of
+    either side once, in a cell; the pivot's side is never compared with itself.
+    """
+    own = found.select(F.col("key").alias("pivot"), F.col("component").alias("_main"))
+    placed = with_component(members, found).join(own, "pivot", "left").withColumn("_main", F.coalesce("_main", "pivot"))
+    placed = placed.select("bucket", "key", "component", "size", (F.col("component") != F.col("_main")).cast("int").alias("rest"))
+
+    def blocks(side: int):
+        mine = F.col("rest") == side
+        n, size = F.sum(F.when(mine, 1).otherwise(0)), F.sum(F.when(mine, F.col("size")).otherwise(0))
+        return F.ceil(F.greatest(n / BLOCK, size / BLOCK_BYTES)).cast("int")
+
+    several = placed.groupBy("bucket").agg(blocks(0).alias("n_main"), blocks(1).alias("n_rest")).filter("n_rest > 0")
+    still = placed.join(several, "bucket")
+    block = F.pmod(F.xxhash64("key", F.lit(5)), F.when(F.col("rest") == 1, F.col("n_rest")).otherwise(F.col("n_main"))).cast("int")
+
+    def cells(first, side: int, second, n):
+        numbers = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(numbers, lambda i: F.struct(first(i).alias("i"), F.lit(side).alias("side"), second(i).alias("j")))
+
+    b = F.col("block")
+    of_main = cells(lambda i: i, 0, lambda i: b, F.col("n_rest"))
+    with_main = cells(lambda i: b, 0, lambda i: i, F.col("n_main"))
+    with_rest = cells(lambda i: F.least(b, i), 1, lambda i: F.greatest(b, i), F.col("n_rest"))
+    chosen = F.when(F.col("rest") == 1, F.concat(with_main, with_rest)).otherwise(of_main)
+    spread = still.withColumn("block", block).select("bucket", "key", "component", F.explode(chosen).alias("cell"))
+
+    def compare(cell: pa.Table) -> pa.Table:
+        a, b = linked_pairs(cell.column("key").to_pylist(), cell.column("component").to_pylist(), cell.column("text"), similarity)
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+    return spread.join(whole, "key").groupBy("bucket", "cell").applyInArrow(compare, "a binary, b binary").distinct()
+
+
+def linked_pairs(keys: list[bytes], of: list[bytes], texts: pa.ChunkedArray, similarity: float) -> tuple[list, list]:
+    """Pairs of similar texts that join different components into one, one pair per union."""
+    value, owner, count = weights(*shingles(Words(texts.combine_chunks())))
+    n = len(keys)
+    sizes = np.bincount(owner, count, minlength=n)
+    # the k-th copy of a shingle is an element of its own; elements of one text alone can't be shared
+    element = np.repeat(value, count)
+    holder = np.repeat(owner, count)
+    turn = np.arange(len(element)) - np.repeat(np.cumsum(count) - count, count)
+    name, held = np.unique(mix(element + mix(turn.astype(np.uint64))), return_inverse=True)
+    shared = np.bincount(held, minlength=len(name)) > 1
+    column = np.cumsum(shared) - 1
+    kept = shared[held]
+    holder, column = holder[kept], column[held[kept]]
+    both = np.zeros((n, n), np.float32)
+    order = np.argsort(column, kind="stable")
+    holder, column = holder[order], column[order]
+    for low in range(0, int(shared.sum()), COLUMNS):
+        i, j = np.searchsorted(column, [low, low + COLUMNS])
+        part = np.zeros((n, COLUMNS), np.float32)
+        part[holder[i:j], column[i:j] - low] = 1
+        both += part @ part.T
+    alike = both >= (similarity - EPS) * (sizes[:, None] + sizes[None, :] - both)
+    names = {c: k for k, c in enumerate(dict.fromkeys(of))}
+    label = np.array([names[c] for c in of])
+    rows, columns = np.nonzero(alike & (label[:, None] < label[None, :]))
+    root = list(range(len(names)))
+
+    def find(k: int) -> int:
+        while root[k] != k:
+            root[k] = root[root[k]]
+            k = root[k]
+        return k
+
+    out = []
+    for x, y in zip(rows.tolist(), columns.tolist(), strict=True):
+        p, q = find(label[x]), find(label[y])
+        if p != q:
+            root[max(p, q)] = min(p, q)
+            out.append((min(keys[x], keys[y]), max(keys[x], keys[y])))
+    return [x for x, _ in out], [y for _, y in out]
 
 
 def groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, key, class_id, class_size, keeper_key) of every row; the class id is the smallest id of the class."""
     rows = written(signed(docs), "signed")
-    texts = written(rows.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("copies")), "distinct")
+    texts = written(rows.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.max("size").alias("size"), F.count(F.lit(1)).alias("copies")), "distinct")
     found = linked_components(docs, texts, similarity)
     placed = with_component(texts.select("key", "doc_id", "copies"), found)
     # the smallest id stays; a missing id only where there is no other
