@@ -162,7 +162,7 @@ def item_weights(spark, sf):
 )
 def j11(spark, sf):
     weights = written(item_weights(spark, sf), "item-weights")
-    return joins.item_similarity(weights, 20, hot=200).withColumn("sim", F.round("sim", 4))
+    return joins.item_similarity(weights, 20).withColumn("sim", F.round("sim", 4))
 
 
 @query(

@@ -15,7 +15,8 @@ from mlspark.plans.ordered import assign_buckets, null_safe_join, quantile_edges
 def attach_titles(df: DataFrame, items: DataFrame, key: str, title: str, default: str = "N/A") -> DataFrame:
     """Title per row, a default when the key is unknown.  The planner broadcasts the items when their
     size is below the session's threshold, and splits skewed keys otherwise."""
-    known = items.select(key, F.col(title).alias("_title")).dropDuplicates([key])
+    # a repeated key gives the smallest title, whatever the order of rows
+    known = items.groupBy(key).agg(F.min(title).alias("_title"))
     return df.join(known, key, "left").withColumn(title, F.coalesce("_title", F.lit(default))).drop("_title")
 
 
@@ -41,11 +42,15 @@ def nearest_join(
 
     Both sides are laid on one line cut into quantile buckets.  Inside a bucket a window carries the
     last right row forward and the next one backward; what a bucket needs from outside comes from a
-    table with one row per bucket.
+    table with one row per bucket.  Each distinct left value is matched once and its rows are joined back,
+    so a value that many rows share is one point on the line.  Missing values match nothing.
     """
-    single = right.filter(F.col(value).isNotNull()).groupBy(value).agg(F.min(right_id).alias("_rid"))
-    line = left.select(F.col(left_id).alias("_lid"), F.col(value).cast("double").alias("_x"), F.lit(None).alias("_rid")).unionByName(
-        single.select(F.lit(None).alias("_lid"), F.col(value).cast("double").alias("_x"), "_rid")
+    x = F.col(value).cast("double")
+    wanted = left.select(F.col(left_id).alias("_left"), x.alias("_x")).filter("_x IS NOT NULL AND NOT isnan(_x)")
+    points = right.select(F.col(right_id).alias("_rid"), x.alias("_x")).filter("_x IS NOT NULL AND NOT isnan(_x)")
+    single = points.groupBy("_x").agg(F.min("_rid").alias("_rid"))
+    line = wanted.select("_x").distinct().select(F.lit(1).alias("_lid"), "_x", F.lit(None).alias("_rid")).unionByName(
+        single.select(F.lit(None).alias("_lid"), "_x", "_rid")
     )
     line = assign_buckets(line, "_x", quantile_edges(line, "_x", buckets))
     point = F.when(F.col("_rid").isNotNull(), F.struct("_x", "_rid"))
@@ -68,17 +73,17 @@ def nearest_join(
         "_bucket",
         F.last(point, ignorenulls=True).over(rising).alias("_below"),
         F.last(point, ignorenulls=True).over(falling).alias("_above"),
-    ).filter(F.col("_lid").isNotNull() & F.col("_x").isNotNull())
-    # at most 2048 rows, one per bucket
+    ).filter(F.col("_lid").isNotNull())
+    # one row per bucket
     both = inside.join(F.broadcast(carried), "_bucket")
     below, above = F.coalesce("_below", "_before"), F.coalesce("_above", "_after")
 
     def option(p):
         return F.when(p.isNotNull(), F.struct(F.abs(F.col("_x") - p["_x"]).alias("dist"), p["_rid"].alias("rid"), p["_x"].alias("x")))
 
-    best = both.select("_lid", F.array_min(F.array_compact(F.array(option(below), option(above)))).alias("m"))
-    return best.select(
-        F.col("_lid").alias(left_id),
+    best = both.select("_x", F.array_min(F.array_compact(F.array(option(below), option(above)))).alias("m"))
+    return wanted.join(best, "_x").select(
+        F.col("_left").alias(left_id),
         F.col("m.rid").alias(f"matched_{right_id}"),
         F.col("m.x").alias(f"matched_{value}"),
         F.col("m.dist").alias("distance"),
@@ -105,14 +110,14 @@ def annotate_events(series: DataFrame, notes: DataFrame, keys: Sequence[str], da
     )
 
 
-def user_similarity(ratings: DataFrame, k: int, user: str = "user_id", item: str = "item_id", rating: str = "rating", hot: int = 1000) -> DataFrame:
+def user_similarity(ratings: DataFrame, k: int, user: str = "user_id", item: str = "item_id", rating: str = "rating") -> DataFrame:
     """Most similar users by cosine of rating rows (unrated = 0): (a, b, sim, rank)."""
-    return sparse_topk(unit_rows(ratings, user, item, rating), k, hot)
+    return sparse_topk(unit_rows(ratings, user, item, rating), k)
 
 
-def item_similarity(weights: DataFrame, k: int, item: str = "item_id", term: str = "term", weight: str = "weight", hot: int = 1000) -> DataFrame:
+def item_similarity(weights: DataFrame, k: int, item: str = "item_id", term: str = "term", weight: str = "weight") -> DataFrame:
     """Most similar items by cosine of their term weights: (a, b, sim, rank)."""
-    return sparse_topk(unit_rows(weights, item, term, weight), k, hot)
+    return sparse_topk(unit_rows(weights, item, term, weight), k)
 
 
 def pair_similarity(pairs: DataFrame, entries: DataFrame, id: str, dim: str, value: str) -> DataFrame:

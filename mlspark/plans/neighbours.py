@@ -6,13 +6,13 @@ on the cell, only to cells that can hold a neighbour (triangle inequality).  Cel
 and queries into blocks of a fixed size, so a task holds a bounded number of rows however uneven the
 cells are.  Each task keeps k rows per query.
 
-Sparse vectors: only rows that share a dimension can be similar.  Dimensions shared by at most ``hot``
-rows are joined directly.  Dimensions shared by more are handled as short vectors of their own, see
-``sparse_topk``.
+Sparse vectors: only rows that share a dimension can be similar.  The holders of a dimension are cut into
+chunks of a fixed size and joined chunk pair by chunk pair, so no task holds a whole popular dimension.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,10 +22,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mlspark.session import written
-
 CHUNK = 4096
-MAX_PIVOTS = 256
+FEW_PIVOTS = 256
 DIGITS = 6
 
 
@@ -69,7 +67,7 @@ class Cells:
 
     def chunks(self, rows: int) -> Column:
         """Array literal: number of chunks per cell."""
-        return F.array(*[F.lit(int(max(1, -(-int(c) // rows)))) for c in self.count])
+        return F.lit(np.maximum(1, -(-self.count // rows)).astype(np.int32))
 
 
 def nearest_cell(pivots: np.ndarray):
@@ -85,9 +83,13 @@ def nearest_cell(pivots: np.ndarray):
 
 
 def fit_cells(base: DataFrame, pivots: int | None, chunk: int) -> tuple[Cells, DataFrame]:
-    """Pivots are a repeatable sample of at most 256 base rows; only they and their cell sizes are collected."""
+    """Pivots are a repeatable sample of base rows; only they and their cell sizes are collected.
+
+    Their number follows the rows per chunk at first and the square root of the row count later, so that
+    cells stay small and the distances to all pivots stay a small part of the search.
+    """
     n = base.count()
-    wanted = min(MAX_PIVOTS, pivots or max(1, -(-n // chunk)))
+    wanted = pivots or min(max(1, -(-n // chunk)), max(FEW_PIVOTS, math.isqrt(n)))
     sample = base.orderBy(F.xxhash64("base_id"), "base_id").limit(wanted).select("base_vec").collect()
     centres = np.array([r[0] for r in sample], dtype=np.float64)
     placed = base.withColumn("_at", nearest_cell(centres)("base_vec")).select("base_id", "base_vec", "_at.cell", "_at.far")
@@ -135,7 +137,10 @@ def _search(
         .withColumn("block", block_of)
     )
     chunk_of = F.pmod(F.xxhash64("base_id", F.lit(2)), F.element_at(per_cell, F.col("cell") + 1)).cast("int")
-    right = placed.withColumn("chunk", chunk_of).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    # a base row is copied only to the blocks whose queries visit its cell
+    wanted = left.select("cell", "block").distinct().toDF("_cell", "_block")
+    right = placed.withColumn("chunk", chunk_of).join(wanted, F.col("cell") == F.col("_cell"))
+    right = right.select("base_id", "base_vec", "cell", "chunk", F.col("_block").alias("block"))
     id_type = queries.schema["query_id"].dataType.simpleString()
     base_type = base.schema["base_id"].dataType.simpleString()
 
@@ -222,126 +227,26 @@ def vector_within(
     return _search(left, right, None, tolerance, exclude_self, pivots, chunk).drop("exact")
 
 
-def _sparse_dot(dims_a: str, weights_a: str, map_b: str) -> Column:
-    pairs = F.arrays_zip(F.col(dims_a).alias("d"), F.col(weights_a).alias("w"))
-    return F.aggregate(
-        pairs, F.lit(0.0), lambda s, x: s + x["w"] * F.coalesce(F.try_element_at(F.col(map_b), x["d"]), F.lit(0.0))
-    )
-
-
-def _hot_lists(hot_rows: DataFrame, k: int, chunk: int) -> DataFrame:
-    """Best k rows per row by the hot dimensions alone: (a, b, hot_sim).
-
-    Rows with the same hot vector are searched once: per distinct vector only its k+1 smallest ids can
-    appear in any list.
-    """
-    vectors = hot_rows.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("dim", "weight"))).alias("vec"))
-    keyed = vectors.select("id", F.md5(F.to_json("vec").cast("binary")).alias("sig"), "vec")
-    by_id = W.partitionBy("sig").orderBy("id")
-    members = keyed.withColumn("_rn", F.row_number().over(by_id)).filter(F.col("_rn") <= k + 1).select("sig", "id")
-    shapes = written(keyed.groupBy("sig").agg(F.min("id").alias("first_id"), F.any_value("vec").alias("vec")), "hot-vectors")
-    blocks = max(1, -(-shapes.count() // chunk))
-    # same type as the replicated block numbers: equal numbers of different types hash apart
-    block_of = F.pmod(F.xxhash64("sig"), F.lit(blocks)).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = shapes.select(F.col("sig").alias("sig_a"), F.col("vec").alias("vec_a"), block_of.alias("i")).withColumn("j", every)
-    right = shapes.select(
-        F.col("sig").alias("sig_b"), F.col("vec").alias("vec_b"), F.col("first_id").alias("first_id"), block_of.alias("j_b")
-    ).withColumn("i_b", every)
-
-    def dense(vecs: pd.Series, index: dict) -> np.ndarray:
-        out = np.zeros((len(vecs), len(index)))
-        for r, vec in enumerate(vecs):
-            for entry in vec:
-                at = index.get(entry["dim"])
-                if at is not None:
-                    out[r, at] = entry["weight"]
-        return out
-
-    def best(q: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if not len(q) or not len(b):
-            return pd.DataFrame(columns=["sig_a", "sig_b", "dot", "first_id"])
-        b = b.sort_values("first_id", kind="stable")
-        index = {d: n for n, d in enumerate(sorted({e["dim"] for vec in b["vec_b"] for e in vec}))}
-        base = dense(b["vec_b"], index)
-        parts = []
-        for start in range(0, len(q), 512):
-            part = q.iloc[start:start + 512]
-            dots = np.round(dense(part["vec_a"], index) @ base.T, DIGITS)
-            width = min(k + 1, dots.shape[1])
-            cols = np.concatenate([first_best(row, width) for row in dots])
-            rows = np.repeat(np.arange(len(part)), width)
-            parts.append(
-                pd.DataFrame(
-                    {
-                        "sig_a": part["sig_a"].to_numpy()[rows],
-                        "sig_b": b["sig_b"].to_numpy()[cols],
-                        "dot": dots[rows, cols],
-                        "first_id": b["first_id"].to_numpy()[cols],
-                    }
-                )
-            )
-        out = pd.concat(parts)
-        return out[out["dot"] > 0]
-
-    id_type = hot_rows.schema["id"].dataType.simpleString()
-    local = left.groupBy("i", "j").cogroup(right.groupBy("i_b", "j_b")).applyInPandas(
-        best, f"sig_a string, sig_b string, dot double, first_id {id_type}"
-    )
-    top = W.partitionBy("sig_a").orderBy(F.desc("dot"), "first_id")
-    shapes_near = local.withColumn("_rn", F.row_number().over(top)).filter(F.col("_rn") <= k + 1)
-    near = shapes_near.join(members.withColumnsRenamed({"sig": "sig_b", "id": "b"}), "sig_b")
-    order = W.partitionBy("sig_a").orderBy(F.desc("dot"), "b")
-    lists = near.withColumn("_rn", F.row_number().over(order)).filter(F.col("_rn") <= k + 1).select("sig_a", "b")
-    pairs = keyed.select(F.col("id").alias("a"), F.col("sig").alias("sig_a")).join(lists, "sig_a").filter("a <> b")
-    return pairs.select("a", "b")
-
-
-def sparse_topk(vectors: DataFrame, k: int, hot: int = 1000, chunk: int = CHUNK) -> DataFrame:
+def sparse_topk(vectors: DataFrame, k: int, chunk: int = CHUNK) -> DataFrame:
     """Exact k most similar rows per row, from unit vectors (id, dim, weight >= 0) in long form.
 
     Returns (a, b, sim, rank); only rows with a positive similarity appear, ties go to the smaller id.
 
-    A dimension held by more than ``hot`` rows would emit all pairs of its group.  So:
-    * pairs that share a light dimension are joined (at most ``hot`` partners per entry), and get the
-      hot part of their dot product from the two rows' short hot vectors;
-    * pairs that share hot dimensions only have their hot dot product as similarity.  The best k by hot
-      dot product are searched block-wise; a row outside that list has k better ones, because a full
-      similarity is never below its hot part.  The union of both lists therefore holds the exact top k.
+    A dimension with n holders has ceil(n / chunk) parts, and its pairs are made per pair of parts: an
+    entry goes once to each part at or after its own as the left side, and to each part at or before
+    it as the right side.  Products are summed per pair before they are shuffled.
     """
-    holders = vectors.groupBy("dim").agg(F.count(F.lit(1)).alias("n"))
-    hot_dims = holders.filter(F.col("n") > hot).select("dim")
-    light, hot_rows = vectors, None
-    if not hot_dims.isEmpty():
-        light = vectors.join(hot_dims, "dim", "left_anti")
-        hot_rows = vectors.join(hot_dims, "dim", "left_semi")
-
-    a = light.select("dim", F.col("id").alias("a"), F.col("weight").alias("wa"))
-    b = light.select("dim", F.col("id").alias("b"), F.col("weight").alias("wb"))
-    once = a.join(b, "dim").filter("a < b").groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("sim"))
+    parts = vectors.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("_parts"))
+    own = F.pmod(F.xxhash64("id", F.lit(3)), F.col("_parts")).cast("int")
+    placed = vectors.join(parts, "dim").withColumn("_part", own)
+    left = placed.select("dim", F.col("id").alias("a"), F.col("weight").alias("wa"), F.col("_part").alias("_i"), F.explode(F.sequence("_part", F.col("_parts") - 1)).alias("_j"))
+    right = placed.select("dim", F.col("id").alias("b"), F.col("weight").alias("wb"), F.col("_part").alias("_j"), F.explode(F.sequence(F.lit(0), "_part")).alias("_i"))
+    pairs = left.join(right, ["dim", "_i", "_j"]).filter((F.col("_i") < F.col("_j")) | (F.col("a") < F.col("b"))).filter("a <> b")
+    once = pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum(F.col("wa") * F.col("wb")).alias("sim"))
     both = F.array(F.struct(F.col("a").alias("a"), F.col("b").alias("b")), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
-    sims = once.select(F.explode(both).alias("p"), "sim").select("p.a", "p.b", "sim")
-
-    if hot_rows is not None:
-        entries = F.array_sort(F.collect_list(F.struct("dim", "weight")))
-        short = hot_rows.groupBy("id").agg(entries.alias("e")).select(
-            "id", F.col("e.dim").alias("dims"), F.col("e.weight").alias("weights")
-        )
-        candidates = sims.unionByName(_hot_lists(hot_rows, k, chunk).withColumn("sim", F.lit(0.0)))
-        merged = candidates.groupBy("a", "b").agg(F.max("sim").alias("sim"))
-        left = short.select(F.col("id").alias("a"), F.col("dims").alias("da"), F.col("weights").alias("wa"))
-        right = short.select(F.col("id").alias("b"), F.map_from_arrays("dims", "weights").alias("mb"))
-        full = merged.join(left, "a", "left").join(right, "b", "left")
-        dot = F.when(F.col("da").isNotNull() & F.col("mb").isNotNull(), _sparse_dot("da", "wa", "mb")).otherwise(0.0)
-        sims = full.select("a", "b", (F.col("sim") + dot).alias("sim"))
-
+    sims = once.filter("sim > 0").select(F.explode(both).alias("p"), "sim").select("p.a", "p.b", "sim")
     near = W.partitionBy("a").orderBy(F.round("sim", DIGITS).desc(), "b")
-    return (
-        sims.filter("sim > 0")
-        .withColumn("rank", F.row_number().over(near))
-        .filter(F.col("rank") <= k)
-        .withColumn("rank", F.col("rank").cast("long"))
-    )
+    return sims.withColumn("rank", F.row_number().over(near)).filter(F.col("rank") <= k).withColumn("rank", F.col("rank").cast("long"))
 
 
 def unit_rows(entries: DataFrame, id: str, dim: str, value: str) -> DataFrame:

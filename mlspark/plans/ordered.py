@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 
 from mlspark.session import partitions
 
-MAX_BUCKETS = 2048
 ORDERED = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
@@ -33,8 +32,9 @@ def as_number(df: DataFrame, col: str) -> Column:
 
 
 def quantile_cuts(df: DataFrame, col: str, buckets: int | None = None) -> list[float]:
-    """Quantiles at equal steps: a sketch per partition merged by a tree, at most 2047 numbers collected."""
-    n = min(MAX_BUCKETS, buckets or partitions(df.sparkSession))
+    """Quantiles at equal steps: a sketch per partition merged by a tree.  There is one bucket per shuffle
+    partition, so a session sized for its data has buckets sized for its tasks."""
+    n = buckets or partitions(df.sparkSession)
     return sorted(df.approxQuantile(col, [i / n for i in range(1, n)], 0.25 / n)) if n > 1 else []
 
 

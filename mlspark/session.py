@@ -95,30 +95,3 @@ def utc(spark: SparkSession) -> SparkSession:
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
-
-
-# rows of text are spread when a scan holds less than this per slot
-SPLIT = 32 * 1024 * 1024
-
-
-def _bytes(df: DataFrame) -> int:
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    conf = spark._jsc.hadoopConfiguration()
-    return sum(path(f).getFileSystem(conf).getFileStatus(path(f)).getLen() for f in df.inputFiles())
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Redistribute a bare file scan that has fewer splits than the session has task slots.
-
-    A small table often sits in one file with one row group, which one task would read.  Large tables
-    have more splits than slots and are returned as they are, so nothing big is shuffled.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if len(df.inputFiles()) < slots and _bytes(df) < slots * SPLIT else df
-
-
-def spread_rows(df: DataFrame, n_rows: int, rows_per_slot: int = 200_000) -> DataFrame:
-    """The same for any frame of ``n_rows`` ahead of costly per-row work; larger ones stay as they are."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if n_rows < rows_per_slot * slots else df

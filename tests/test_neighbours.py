@@ -1,4 +1,4 @@
-"""Exact neighbour search against brute force, with many pivots, small chunks and hot dimensions."""
+"""Exact neighbour search against brute force, with many pivots, small chunks and popular dimensions."""
 
 import numpy as np
 import pandas as pd
@@ -46,15 +46,15 @@ def test_cosine_of_zero_vector_is_zero(spark):
     assert sims[(1, 2)] == pytest.approx(0) and sims[(2, 3)] == pytest.approx(2 ** -0.5)
 
 
-@pytest.mark.parametrize("hot", [1000, 6, 1])
-def test_sparse_topk(spark, hot):
+@pytest.mark.parametrize("chunk", [4096, 13, 3])
+def test_sparse_topk(spark, chunk):
     rng = np.random.default_rng(2)
     dense = (rng.random((60, 25)) < 0.15) * rng.integers(1, 6, (60, 25))
     dense[:, 0] = rng.integers(1, 6, 60)  # every row holds dimension 0
     dense[40:50] = dense[40]
     entries = pd.DataFrame([(i, j, int(v)) for (i, j), v in np.ndenumerate(dense) if v], columns=["u", "i", "r"])
     rows = neighbours.unit_rows(spark.createDataFrame(entries), "u", "i", "r")
-    got = neighbours.sparse_topk(rows, 7, hot, chunk=13).orderBy("a", "rank").toPandas()
+    got = neighbours.sparse_topk(rows, 7, chunk).orderBy("a", "rank").toPandas()
     unit = dense / np.linalg.norm(dense, axis=1, keepdims=True)
     sims = unit @ unit.T
     np.fill_diagonal(sims, -1)
@@ -74,3 +74,15 @@ def test_smote_balances_between_neighbours(spark):
         a, b = np.array(data.x[r.id]), np.array(data.x[r.neighbour])
         t = np.linalg.norm(np.array(r.x) - a) / np.linalg.norm(b - a)
         assert 0 <= t < 1 and np.allclose(a + (b - a) * t, r.x)
+
+
+def test_base_rows_go_only_to_blocks_that_visit_their_cell(spark):
+    rng = np.random.default_rng(1)
+    centres = np.array([[0.0, 0], [100, 0], [0, 100], [100, 100]])
+    base = pd.DataFrame({"vec_id": range(400), "embedding": [list(centres[i % 4] + rng.normal(0, 0.1, 2)) for i in range(400)]})
+    queries = base[base.vec_id % 4 == 0]
+    left, right = neighbours._sides(spark.createDataFrame(queries), spark.createDataFrame(base), "vec_id", "vec_id", "embedding", "l2")
+    cells, _ = neighbours.fit_cells(right, 40, 10)
+    visits = left.select(F.explode(neighbours.cells_to_visit(cells, 3, None)("query_vec")).alias("cell")).distinct().collect()
+    near = sum(int(cells.count[r["cell"]]) for r in visits)
+    assert 100 <= near <= 130  # the three other clusters are never copied
