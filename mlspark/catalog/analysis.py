@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mlspark.catalog import query
+from mlspark.catalog.joined import all_dims
 from mlspark.catalog.joined import PAIRS
 from mlspark.catalog.ordered import COLLAPSED, EFFECT, rounded
 from mlspark.operators import anomaly, causal, drift, graph
@@ -22,10 +23,19 @@ def k1(spark, sf):
     return rounded(causal.naive_effect(trial(spark, sf), "treatment", "outcome"), 4, "mean_treated", "mean_control", "effect")
 
 
+# one of the five segments is the base of the other four
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"]
+
+
+def covariates(spark, sf):
+    flags = {s.lower(): (F.col("segment") == s).cast("int") for s in SEGMENTS}
+    return trial(spark, sf).withColumn("balance", F.col("score") / 1000).withColumns(flags), ["balance", *flags]
+
+
 @query("K2_propensity_scores")
 def k2(spark, sf):
-    rows = trial(spark, sf).withColumn("balance", F.col("score") / 1000).withColumn("building", (F.col("segment") == "BUILDING").cast("int"))
-    return causal.propensity_scores(rows, ["balance", "building"], "treatment").select("row_id", "treatment", "propensity_score")
+    rows, cols = covariates(spark, sf)
+    return causal.propensity_scores(rows, cols, "treatment").select("row_id", "treatment", "propensity_score")
 
 
 @query(
@@ -44,8 +54,8 @@ def k3(spark, sf):
 
 @query("K3_psm_effect_estimated")
 def k3_full(spark, sf):
-    rows = trial(spark, sf).withColumn("balance", F.col("score") / 1000).withColumn("building", (F.col("segment") == "BUILDING").cast("int"))
-    scores = written(causal.propensity_scores(rows, ["balance", "building"], "treatment"), "propensity")
+    rows, cols = covariates(spark, sf)
+    scores = written(causal.propensity_scores(rows, cols, "treatment"), "propensity")
     return causal.psm_effect(scores, "row_id", "treatment", "propensity_score", "outcome")
 
 
@@ -224,12 +234,13 @@ def citation_graph(spark, sf):
     e AS (SELECT DISTINCT src, dst FROM (SELECT src, dst FROM near UNION ALL SELECT dst, src FROM near) UNION ALL SELECT vec_id, vec_id FROM embeddings),
     deg AS (SELECT dst AS id, count(*) AS c FROM e GROUP BY 1),
     w AS (SELECT src, dst, 1 / sqrt(a.c * b.c) AS w FROM e JOIN deg a ON a.id = src JOIN deg b ON b.id = dst)
-    SELECT dst AS id, round(sum(w * q.e[1]), 6) AS h0, round(sum(w * q.e[64]), 6) AS h63 FROM w JOIN q ON q.vec_id = src GROUP BY 1""",
+    SELECT dst AS id, round(sum(w * q.e[1]), 6) AS h0, round(sum(w * q.e[64]), 6) AS h63,
+      round(sum(w * list_sum(list_transform(range(1, 65), lambda i: i * q.e[i]))), 3) AS all_dims FROM w JOIN q ON q.vec_id = src GROUP BY 1""",
 )
 def g1(spark, sf):
     vertices, edges = citation_graph(spark, sf)
     out = graph.propagate(vertices, edges, 1)
-    return out.select("id", F.round(F.col("features")[0], 6).alias("h0"), F.round(F.col("features")[63], 6).alias("h63"))
+    return out.select("id", F.round(F.col("features")[0], 6).alias("h0"), F.round(F.col("features")[63], 6).alias("h63"), all_dims("features"))
 
 
 @query("G1_propagate_two_hops")

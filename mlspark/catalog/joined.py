@@ -188,6 +188,12 @@ def s2(spark, sf):
     return sampling.skip_first_topk(near, ["query_id"], "dist", 5, ["base_id"])
 
 
+def all_dims(vector: str):
+    """One number that every dimension takes part in, each with its own weight."""
+    weighted = F.transform(vector, lambda x, i: x * (i + 1))
+    return F.round(F.aggregate(weighted, F.lit(0.0), lambda a, b: a + b), 3).alias("all_dims")
+
+
 @query(
     "S11_smote",
     "WITH " + PAIRS.replace("FROM embeddings)", "FROM embeddings WHERE label = 0)") + f""",
@@ -196,7 +202,8 @@ def s2(spark, sf):
     m AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS pos FROM q),
     p AS (SELECT vec_id, unnest(range(1, CAST(wanted // few + CASE WHEN pos <= wanted % few THEN 1 ELSE 0 END AS BIGINT) + 1)) AS copy FROM m, c),
     r AS (SELECT vec_id, copy, {spread_hash_sql('vec_id * 1009 + copy', 1)} % 5 + 1 AS rank, ({spread_hash_sql('vec_id * 1009 + copy', 2)} % 1000) / CAST(1000 AS DOUBLE) AS gap FROM p)
-    SELECT r.vec_id, r.copy, base_id AS neighbour, round(a.e[1] + (b.e[1] - a.e[1]) * gap, 6) AS v0, round(a.e[64] + (b.e[64] - a.e[64]) * gap, 6) AS v63
+    SELECT r.vec_id, r.copy, base_id AS neighbour, round(a.e[1] + (b.e[1] - a.e[1]) * gap, 6) AS v0, round(a.e[64] + (b.e[64] - a.e[64]) * gap, 6) AS v63,
+      round(list_sum(list_transform(range(1, 65), lambda i: i * (a.e[i] + (b.e[i] - a.e[i]) * gap))), 3) AS all_dims
     FROM r JOIN near n ON n.query_id = r.vec_id AND n.rank = r.rank JOIN q a ON a.vec_id = r.vec_id JOIN q b ON b.vec_id = base_id""",
 )
 def s11(spark, sf):
@@ -205,4 +212,4 @@ def s11(spark, sf):
 
     out = sampling.smote(table(spark, sf, "embeddings"), "label", 0, "vec_id", "embedding", 5, draw=draw)
     v = F.col("embedding")
-    return out.select("vec_id", "copy", "neighbour", F.round(v[0], 6).alias("v0"), F.round(v[63], 6).alias("v63"))
+    return out.select("vec_id", "copy", "neighbour", F.round(v[0], 6).alias("v0"), F.round(v[63], 6).alias("v63"), all_dims("embedding"))

@@ -97,22 +97,26 @@ def f7(spark, sf):
     return rounded(out, 6, *[c for c in out.columns if "_x_" in c])
 
 
+DIMENSIONS = 64
+
+
 def coordinates(spark, sf):
     e = F.col("embedding")
-    return table(spark, sf, "embeddings").select("vec_id", "label", *[e[i].cast("double").alias(f"e{i}") for i in range(8)])
+    return table(spark, sf, "embeddings").select("vec_id", "label", *[e[i].cast("double").alias(f"e{i}") for i in range(DIMENSIONS)])
 
 
 @query("F8_geo_cluster")
 def f8(spark, sf):
     rows = coordinates(spark, sf)
-    model = M.geo_cluster(rows.filter("vec_id % 5 <> 0"), ["e0", "e1"], 6)
-    return model.transform(rows).select("vec_id", "e0", "e1", "geo_cluster")
+    cols = [f"e{i}" for i in range(DIMENSIONS)]
+    model = M.geo_cluster(rows.filter("vec_id % 5 <> 0"), cols, 6)
+    return model.transform(rows).select("vec_id", *cols, "geo_cluster")
 
 
 @query("F9_pca")
 def f9(spark, sf):
     rows = coordinates(spark, sf)
-    cols = [f"e{i}" for i in range(8)]
+    cols = [f"e{i}" for i in range(DIMENSIONS)]
     model = M.fit_pca(rows, cols, 2)
     out = M.pca_restore(model, model.transform(rows), cols)
     return out.select("vec_id", vector_to_array("pca").alias("pca"), *[f"restored_{c}" for c in cols])
@@ -282,10 +286,10 @@ def m7(spark, sf):
         crossed = X.interactions(clusters.transform(train), pairs)
         cols = [*PRICE_COLS, "geo_cluster", *[c for c in crossed.columns if "_x_" in c]]
         assemble = VectorAssembler(inputCols=cols, outputCol="features")
-        model = GBTRegressor(featuresCol="features", labelCol="l_extendedprice", maxIter=10, maxDepth=4, seed=42).fit(assemble.transform(crossed))
+        model = GBTRegressor(featuresCol="features", labelCol="l_extendedprice", maxIter=20, maxDepth=4, seed=42).fit(assemble.transform(crossed))
         return lambda held_out: model.transform(assemble.transform(X.interactions(clusters.transform(held_out), pairs)))
 
-    folds = M.cross_validate(rows, "row_id", "l_extendedprice", fit, 3)
+    folds = M.cross_validate(rows, "row_id", "l_extendedprice", fit, 5)
     return folds.agg(F.avg("mse").alias("mse_mean"), F.stddev_pop("mse").alias("mse_std"))
 
 
@@ -295,7 +299,7 @@ def m8(spark, sf):
     prep = PipelineModel(CHURN_PREP.stages(train))
     names = prep.stages[-1].getInputCols()
     data = prep.transform(train)
-    forest = M.forest_classifier(CHURN_PREP, train, "churn", 20, 5).stages[-1]
+    forest = M.forest_classifier(CHURN_PREP, train, "churn").stages[-1]
     linear = LogisticRegression(featuresCol="features", labelCol="churn").fit(data)
     importance = M.importance_table(spark, forest, names).select(F.lit("importance").alias("kind"), "feature", F.col("importance").alias("value"))
     coefficients = M.coef_table(spark, linear, names).select(F.lit("coefficient").alias("kind"), "feature", F.col("coefficient").alias("value"))
@@ -331,7 +335,7 @@ def m9(spark, sf):
 @query("M11_promote_if")
 def m11(spark, sf):
     train, test = churn_parts(spark, sf)
-    model = M.forest_classifier(CHURN_PREP, train, "churn", 20, 5)
+    model = M.forest_classifier(CHURN_PREP, train, "churn")
     scores = written(report(model, test, "churn"), "report")
     path = scratch_path(spark, "production")
     return scores.filter("class = '0'").withColumn("promoted", F.lit(M.promote_if(model, scores, path)))

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mlspark.session import utc
+from mlspark.session import ship, utc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -31,6 +31,7 @@ def build_session(cpus: int | str = "*", app: str = "mlspark", **conf: str) -> S
         builder = builder.config(key.replace("__", "."), value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship(spark)
     return spark
 
 
