@@ -81,7 +81,7 @@ def packing_patterns(histogram: dict[int, int], sequence: int = SEQUENCE) -> lis
 
     Open patterns are kept by the space they have left.  A length with n pieces goes to the patterns
     with the most space; a pattern with more copies than pieces left is split in two.  Every length
-    adds at most two patterns, so there are at most 2 * sequence of them.
+    adds at most three patterns, so there are at most 3 * sequence of them.
     """
     open_by_space: dict[int, list[tuple[int, tuple]]] = {}
     spaces = np.zeros(sequence + 1, dtype=bool)
@@ -95,7 +95,15 @@ def packing_patterns(histogram: dict[int, int], sequence: int = SEQUENCE) -> lis
         while left:
             fitting = np.flatnonzero(spaces[length:])
             if not len(fitting):
-                add(sequence - length, left, (length, None))
+                # a new pack takes this length until it is full, then the next one opens
+                per_pack = sequence // length
+                full, rest = divmod(left, per_pack)
+                for count, items in ((full, per_pack), (1 if rest else 0, rest)):
+                    if count:
+                        chain = None
+                        for _ in range(items):
+                            chain = (length, chain)
+                        add(sequence - items * length, count, chain)
                 break
             space = int(fitting[-1]) + length
             count, chain = open_by_space[space].pop()

@@ -77,7 +77,7 @@ def parse(records: DataFrame) -> DataFrame:
         "record_id",
         F.lower(field(F.col("warc"), "warc-type")).alias("type"),
         field(F.col("warc"), "warc-target-uri").alias("url"),
-        F.to_timestamp(field(F.col("warc"), "warc-date")).alias("time"),
+        F.try_to_timestamp(field(F.col("warc"), "warc-date")).alias("time"),
         F.regexp_extract("http", r"^HTTP/[0-9.]+ ([0-9]{3})", 1).try_cast("int").alias("status"),
         fields(F.col("http")).alias("headers"),
         "payload",

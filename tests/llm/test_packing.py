@@ -58,8 +58,9 @@ def test_patterns_use_every_piece_once():
             assert count > 0 and sum(lengths) <= 64 and lengths == sorted(lengths, reverse=True)
             for length in lengths:
                 used[length] += count
-        assert used == histogram and len(patterns) <= 128
+        assert used == histogram and len(patterns) <= 192
     assert P.packing_patterns({5: 3, 3: 3}, 8) == [(3, [5, 3])]
+    assert P.packing_patterns({3: 200}, 64) == [(9, [3] * 21), (1, [3] * 11)]
 
 
 def test_one_length_for_a_third_of_all_rows(spark):
