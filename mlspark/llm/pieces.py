@@ -2,10 +2,11 @@
 
 Spaces become the mark U+2581 and one mark is put before the text.  No piece crosses a boundary between
 two characters that stand next to each other in no piece, so a text is cut there into segments, and
-each distinct segment is searched once: forward Viterbi gives the best score up to every place, which is the
-exact heuristic for an A-star search from the end, so paths leave the queue in order of their score.  A
-text's N best segmentations are sums over segments; only the N - 1 cheapest changes of one segment can
-take part, which are found in one pass over the text's segments.
+forward and backward Viterbi scores of all distinct segments are computed together, in arrays.  They give
+each segment's best path and what its second path costs more.  A text's N best segmentations are sums
+over segments, and only the N - 1 cheapest changes of one segment can take part; the segments that can
+hold these are searched from the end by A-star, where the forward scores are the exact heuristic, so
+paths leave the queue in order of their score.
 
 A character without a piece costs ``UNKNOWN`` below the worst piece and becomes its UTF-8 byte pieces.
 Equal scores go to the smaller ids read from the end; inside one segment of more than ``LONG``
@@ -36,6 +37,9 @@ UNKNOWN = 10.0
 LONG = 512
 CACHED = 100_000
 TABLE = 1 << 22
+WIDE = 64  # longer segments are searched one by one
+CELLS = 1 << 16  # characters of the segments that are solved together
+HASH = 0x5851F42D4C957F2D
 
 Path = tuple[float, tuple[int, ...]]
 
@@ -67,6 +71,21 @@ class Pieces:
         self.surface_start = np.cumsum(self.surface_size) - self.surface_size
         self.surface = np.frombuffer(b"".join(surface), dtype=np.uint8)
         self.cache: dict[str, list[Path]] = {}
+        # pieces by the hash of their characters, for lookups in arrays
+        named = {}
+        for piece, (i, score) in self.ids.items():
+            h = 0
+            for c in piece:
+                h = (h * HASH + ord(c) + 1) % (1 << 64)
+            named[h] = (i, score)
+        if len(named) != len(self.ids):
+            raise ValueError("two pieces share a hash")
+        self.hashes = np.array(sorted(named), dtype=np.uint64)
+        self.hashed_id = np.array([named[int(h)][0] for h in self.hashes], dtype=np.int64)
+        self.hashed_score = np.array([named[int(h)][1] for h in self.hashes])
+        self.maybe = np.zeros(TABLE, bool)
+        self.maybe[slots(self.hashes)] = True
+        self.longest = max(map(len, self.ids))
 
     def lattice(self, s: str) -> tuple[list[list[tuple[int, float, tuple[int, ...]]]], list[float]]:
         """For every place, the pieces that end there (start, score, ids) and the best score up to it."""
@@ -135,42 +154,144 @@ class Pieces:
         """The n best segmentations of a text: score and ids, best first."""
         return list(self.n_best_many([text], n))[0]
 
+    def solve(self, segments: list[str], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Score, ids (flat, with sizes) of the best path of each segment, and the cost of its second path."""
+        count = len(segments)
+        score, gap = np.zeros(count), np.full(count, np.inf)
+        ids: list = [None] * count
+        length = np.array([len(s) for s in segments], dtype=np.int64)
+        for k in np.flatnonzero(length > WIDE).tolist():
+            found = self.segment_paths(segments[k], max(n, 2))
+            score[k], ids[k] = found[0]
+            if len(found) > 1:
+                gap[k] = found[0][0] - found[1][0]
+        order = np.argsort(length, kind="stable")
+        order = order[length[order] <= WIDE]
+        at = 0
+        while at < len(order):
+            # as many segments of about one length as fill the arrays
+            take = max(1, CELLS // int(length[order[min(at + CELLS // 64, len(order) - 1)]]))
+            rows = order[at : at + take]
+            at += take
+            self.solve_group([segments[k] for k in rows], rows, score, gap, ids)
+        sizes = np.array([len(i) for i in ids], dtype=np.int64)
+        flat = np.concatenate([np.asarray(i, dtype=np.int64) for i in ids]) if count else np.empty(0, np.int64)
+        return score, flat, sizes, gap
+
+    def solve_group(self, group: list[str], rows: np.ndarray, score: np.ndarray, gap: np.ndarray, ids: list) -> None:
+        n, width = len(group), max(map(len, group))
+        length = np.array([len(s) for s in group])
+        text = np.zeros((n, width), np.uint64)
+        text[np.arange(width) < length[:, None]] = points("".join(group)).astype(np.uint64) + np.uint64(1)
+        most = min(width, self.longest)
+        # edge[k] starts at each place and spans k + 1 characters
+        edge_score = [np.full((n, width - k), -np.inf) for k in range(most)]
+        edge_id = [np.full((n, width - k), -1, np.int64) for k in range(most)]
+        hashed = np.zeros((n, width), np.uint64)
+        for k in range(most):
+            hashed = hashed[:, : width - k] * np.uint64(HASH) + text[:, k:]
+            inside = np.arange(width - k) + k < length[:, None]
+            r, c = np.nonzero(self.maybe[slots(hashed)] & inside)
+            h = hashed[r, c]
+            place = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+            hit = self.hashes[place] == h
+            edge_score[k][r[hit], c[hit]] = self.hashed_score[place[hit]]
+            edge_id[k][r[hit], c[hit]] = self.hashed_id[place[hit]]
+        unknown = (edge_id[0] < 0) & (np.arange(width) < length[:, None])
+        edge_score[0][unknown] = self.worst
+        forward = np.full((n, width + 1), -np.inf)
+        forward[:, 0] = 0
+        for j in range(1, width + 1):
+            for k in range(min(j, most)):
+                np.maximum(forward[:, j], forward[:, j - k - 1] + edge_score[k][:, j - k - 1], out=forward[:, j])
+        backward = np.full((n, width + 1), -np.inf)
+        backward[np.arange(n), length] = 0
+        for i in range(width - 1, -1, -1):
+            for k in range(min(width - i, most)):
+                np.maximum(backward[:, i], edge_score[k][:, i] + backward[:, i + k + 1], out=backward[:, i])
+        total = forward[np.arange(n), length]
+        through = [forward[:, : width - k] + edge_score[k] + backward[:, k + 1 :] for k in range(most)]
+        # the best path from the end, by the smallest id among the best edges; its edges are then left out
+        live, place = np.arange(n), length.copy()
+        steps = []
+        while len(live):
+            end = place[live]
+            best_key, best_k = np.full(len(live), np.iinfo(np.int64).max), np.zeros(len(live), np.int64)
+            for k in range(min(most, int(end.max()))):
+                start = np.maximum(end - k - 1, 0)
+                ok = (end > k) & (forward[live, start] + edge_score[k][live, np.minimum(start, width - k - 1)] == forward[live, end])
+                key = edge_id[k][live, np.minimum(start, width - k - 1)]
+                ok &= key < best_key
+                best_key, best_k = np.where(ok, key, best_key), np.where(ok, k, best_k)
+            start = end - best_k - 1
+            steps.append((live, start, best_key))
+            for k in np.unique(best_k):
+                mine = best_k == k
+                through[k][live[mine], start[mine]] = -np.inf
+            place[live] = start
+            live = live[start > 0]
+        second = np.max([t.max(axis=1) for t in through], axis=0)
+        score[rows], gap[rows] = total, total - second
+        row, start, piece = (np.concatenate(x) for x in zip(*steps, strict=True))
+        order = np.lexsort((start, row))
+        row, start, piece = row[order], start[order], piece[order]
+        bounds = np.searchsorted(row, np.arange(n + 1))
+        odd = set(row[piece < 0].tolist())
+        for k, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+            if k in odd:
+                path = zip(start[a:b].tolist(), piece[a:b].tolist(), strict=True)
+                ids[rows[k]] = [i for at, p in path for i in ([p] if p >= 0 else [self.bytes[x] for x in group[k][at].encode()])]
+            else:
+                ids[rows[k]] = piece[a:b]
+
     def n_best_many(self, texts: list[str], n: int) -> Iterator[list[tuple[float, np.ndarray]]]:
         index: dict[str, int] = {}
         listed = [np.array([index.setdefault(s, len(index)) for s in self.segments(t)], dtype=np.int64) for t in texts]
-        paths = [self.segment_paths(s, n) for s in index]
-        size = np.array([len(p[0][1]) for p in paths], dtype=np.int64)
+        names = list(index)
+        score, flat, size, gap = self.solve(names, n)
         start = np.cumsum(size) - size
-        flat = np.array([i for p in paths for i in p[0][1]], dtype=np.int64)
-        score = np.array([p[0][0] for p in paths])
-        # cost of each further path, and whether its ids read from the end are smaller than the best one's
-        cost = np.full((len(paths), max(n - 1, 1)), np.inf)
-        sooner = np.zeros(cost.shape, bool)
-        for k, p in enumerate(paths):
-            for r, (value, ids) in enumerate(p[1:]):
-                cost[k, r] = p[0][0] - value
-                sooner[k, r] = ids[::-1] < p[0][1][::-1]
         for codes in listed:
             sizes = size[codes]
             ends = np.cumsum(sizes)
             best = flat[np.repeat(start[codes] - (ends - sizes), sizes) + np.arange(int(sizes.sum()))]
             total = float(score[codes].sum())
-            changes = cheapest(cost[codes], sooner[codes], n - 1)
-            ranked = []
-            for take in range(len(changes) + 1):
-                for chosen in combinations(changes, take):
-                    if len({place for place, _, _ in chosen}) == take:
-                        ranked.append((sum(c for _, _, c in chosen), chosen))
-            ranked.sort(key=lambda item: item[0])
             out = []
-            for extra, chosen in in_tie_order(ranked, codes, paths)[:n]:
+            for extra, chosen in self.best_changes(codes, gap, names, n):
                 ids = best
-                for place, r, _ in sorted(chosen, reverse=True):
+                for place, path in sorted(chosen, reverse=True, key=lambda c: c[0]):
                     a, b = int(ends[place] - sizes[place]), int(ends[place])
-                    ids = np.concatenate([ids[:a], np.array(paths[codes[place]][r + 1][1], dtype=np.int64), ids[b:]])
+                    ids = np.concatenate([ids[:a], np.array(path, dtype=np.int64), ids[b:]])
                 out.append((total - extra, ids))
             yield out
 
+    def best_changes(self, codes: np.ndarray, gap: np.ndarray, names: list[str], n: int) -> list[tuple[float, list]]:
+        """The n best choices as (cost, [(segment, ids)]), beginning with no change."""
+        costs = gap[codes]
+        finite = int(np.isfinite(costs).sum())
+        wanted = min(n - 1, finite)
+        if wanted <= 0:
+            return [(0.0, [])]
+        # n - 1 segments change at this cost or less, so no dearer change takes part
+        limit = np.partition(costs, wanted - 1)[wanted - 1] if finite >= n - 1 else np.inf
+        places = np.flatnonzero((costs <= limit) & np.isfinite(costs))
+        paths = {int(c): self.segment_paths(names[c], n) for c in np.unique(codes[places])}
+        cost = np.full((len(places), n - 1), np.inf)
+        sooner = np.zeros(cost.shape, bool)
+        for row, place in enumerate(places.tolist()):
+            found = paths[int(codes[place])]
+            for r, (value, ids) in enumerate(found[1:]):
+                cost[row, r] = found[0][0] - value
+                sooner[row, r] = ids[::-1] < found[0][1][::-1]
+        changes = [(int(places[row]), r, c) for row, r, c in cheapest(cost, sooner, n - 1)]
+        ranked = []
+        for take in range(len(changes) + 1):
+            for chosen in combinations(changes, take):
+                if len({place for place, _, _ in chosen}) == take:
+                    ranked.append((sum(c for _, _, c in chosen), chosen))
+        ranked.sort(key=lambda item: item[0])
+        kept = in_tie_order(ranked, codes, paths)[:n]
+        return [(extra, [(place, paths[int(codes[place])][r + 1][1]) for place, r, _ in chosen]) for extra, chosen in kept]
+
 
 def points(s: str) -> np.ndarray:
     return np.frombuffer(s.encode("utf-32-le"), dtype=np.uint32)
@@ -182,6 +303,11 @@ def pair_slots(code: np.ndarray) -> np.ndarray:
     return (mixed >> np.uint64(42)).astype(np.int64)
 
 
+def slots(hashes: np.ndarray) -> np.ndarray:
+    mixed = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (mixed >> np.uint64(42)).astype(np.int64)
+
+
 def search_short(ends: list, best: list[float], n: int) -> list[Path]:
     """A-star from the end; among equal scores the queue gives the smaller ids read from the end."""
     queue: list = [(-best[-1], (), len(best) - 1, 0.0)]
@@ -239,12 +365,12 @@ def cheapest(cost: np.ndarray, sooner: np.ndarray, n: int) -> list[tuple[int, in
     return [(int(place[k]), int(path[k]), float(values[at[k]])) for k in order]
 
 
-def in_tie_order(ranked: list, codes: np.ndarray, paths: list) -> list:
+def in_tie_order(ranked: list, codes: np.ndarray, paths: dict[int, list[Path]]) -> list:
     """Choices of equal cost by their ids read from the end."""
 
     def ids(chosen: tuple, place: int) -> tuple[int, ...]:
         r = next((r + 1 for p, r, _ in chosen if p == place), 0)
-        return paths[codes[place]][r][1][::-1]
+        return paths[int(codes[place])][r][1][::-1]
 
     out: list = []
     for item in ranked:
