@@ -258,10 +258,10 @@ def detect_from_errors(
 ) -> DataFrame:
     """Middle points of anomalous stretches: errors strictly above the percentile, shifted to the window
     centre, neighbours merged.  Positions count from 0."""
-    indexed = row_index(df.select(*keys, order, error), keys, order, out="idx")
-    cuts = quantile_threshold(df, error, percentile / 100, keys)
+    indexed = written(row_index(df.select(*keys, order, error), keys, order, out="idx"), "positions")
+    cuts = quantile_threshold(indexed, error, percentile / 100, keys)
     above = null_safe_join(indexed, cuts, keys).filter(F.col(error) > F.col("threshold"))
-    candidates = above.select(*keys, (F.col("idx") - 1 + length // 2).alias("idx"))
+    candidates = written(above.select(*keys, (F.col("idx") - 1 + length // 2).alias("idx")), "candidates")
     return collapse_adjacent(candidates, keys, "idx", max_gap)
 
 

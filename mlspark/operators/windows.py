@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from mlspark.plans.ordered import block_window, halo_blocks, null_safe_join, owned, position_sums, row_index
+from mlspark.session import written
 
 Build = Callable[[W], dict[str, Column]]
 
@@ -163,7 +164,8 @@ def islands(df: DataFrame, keys: Sequence[str], order: str, starts: Callable[[Co
         previous = F.lag(order).over(w)
         return {"starts_run": previous.isNull() | starts(previous, F.col(order))}
 
-    indexed = row_index(df, keys, order, ties, out="pos")
+    # positions are found once; what follows reads them from the written table
+    indexed = written(row_index(df, keys, order, ties, out="pos"), "positions")
     marked = over_series(indexed, keys, order, build, before=1, position="pos")
     return position_sums(marked, keys, "pos", {"run_no": F.col("starts_run").cast("long")})
 
@@ -173,7 +175,7 @@ def collapse_adjacent(df: DataFrame, keys: Sequence[str], idx: str, max_gap: int
 
     The middle is found by position, so a run of any length is never gathered.
     """
-    runs = islands(df, keys, idx, lambda a, b: b - a > max_gap)
+    runs = written(islands(df, keys, idx, lambda a, b: b - a > max_gap), "runs")
     middle = runs.groupBy(*keys, "run_no").agg(
         (F.min("pos") + F.floor(F.count(F.lit(1)) / 2)).cast("long").alias("pos"), F.count(F.lit(1)).alias("run_size")
     )
@@ -201,7 +203,7 @@ def gap_segments(
             "_last": F.coalesce(F.lead("_ms").over(w) - F.col("_ms") >= gap_ms, F.lit(False)),
         }
 
-    indexed = row_index(ms, keys, "_ms", ties, out="_pos")
+    indexed = written(row_index(ms, keys, "_ms", ties, out="_pos"), "positions")
     marked = over_series(indexed, keys, "_ms", build, before=1, after=1, position="_pos")
     numbered = position_sums(marked, keys, "_pos", {"segment": F.col("_new").cast("long")})
     return numbered.groupBy(*keys, "segment").agg(

@@ -114,3 +114,11 @@ def test_financial_metrics_same_with_blocks_and_plain(spark):
     assert plain.volatility.isna().sum() == 30 and plain.ma_25.isna().sum() == 24
     for c in ("ma_25", "ma_75", "daily_return", "volatility"):
         assert np.allclose(plain[c], blocks[c], equal_nan=True)
+
+
+@pytest.mark.parametrize("name", ["N7_detect_from_errors", "W9_collapse_adjacent", "W12_gap_segments"])
+def test_positions_are_not_found_anew(spark, sf, name):
+    import __spark_entry__ as entry
+
+    plan = entry.queries()[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= 3, plan
