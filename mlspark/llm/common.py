@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 
 from mlspark.session import ship
 
+SAMPLE = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("text", pa.string())])
 # bytes of text handled at once inside a task; a longer single text is handled alone
 SLICE_BYTES = 4 << 20
 
@@ -21,7 +23,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str | T.StructType
+def arrow_map(
+    df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str | T.StructType
 ) -> DataFrame:
     """``mapInArrow`` with batches cut to ``SLICE_BYTES``, so that long texts never pile up in a worker."""
     ship(df.sparkSession)
@@ -50,7 +53,9 @@ def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 class Words:
     """White-space words of a slice of texts: codes into a dictionary, and where each text's words start."""
 
-    def __init__(self, texts: pa.Array, lower: bool = False) -> None:
+    def __init__(self, texts: pa.Array | pa.ChunkedArray, lower: bool = False) -> None:
+        if isinstance(texts, pa.ChunkedArray):
+            texts = texts.combine_chunks()
         column = pc.fill_null(texts.cast(pa.large_string()), "")
         lists = pc.ascii_split_whitespace(pc.utf8_lower(column) if lower else column)
         flat, bounds = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
@@ -107,8 +112,8 @@ def crc_remainder(column: str, n: int) -> Column:
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(n))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, modulus: int, held: int, per_class: int) -> list:
-    """At most ``per_class`` labelled texts of each class for fitting, as (doc_id, label, text).
+def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, modulus: int, held: int, per_class: int) -> DataFrame:
+    """At most ``per_class`` labelled texts of each class for fitting: (doc_id, label, text).
 
     Rows of the held-out fold, missing labels and labels other than 0 and 1 take no part.  The choice
     is by hash of the id, so it does not depend on partitions.  One label per document: the smallest.
@@ -124,6 +129,22 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, modulus: in
     for value in (0, 1):
         part = known.filter(F.col("label") == value).orderBy("spread", "doc_id").limit(per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
-    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "label", F.coalesce("text", F.lit("")).alias("text"))
-    rows = found.limit(4 * per_class).collect()
-    return sorted((r.doc_id, r.label, r.text) for r in rows)
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return found.select("doc_id", "label", F.coalesce("text", F.lit("")).alias("text")).limit(4 * per_class)
+
+
+def fit_in_task(sample: DataFrame, fit: Callable[[list[int], pa.ChunkedArray], object]) -> object:
+    """Fits a model on a bounded sample (doc_id, label, text) in one task, so that no text reaches the driver.
+
+    Rows are put in the order of their ids first.  None if the sample is empty.
+    """
+    ship(sample.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(list(batches) or [pa.RecordBatch.from_pylist([], schema=SAMPLE)])
+        rows = rows.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+        model = fit(rows.column("label").to_pylist(), rows.column("text")) if rows.num_rows else None
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    row = sample.repartition(1).mapInArrow(run, "model binary").first()
+    return pickle.loads(row["model"]) if row else None

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from mlspark.llm.common import Words, arrow_map, crc_remainder, labelled_sample, mix
+from mlspark.llm.common import Words, arrow_map, crc_remainder, fit_in_task, labelled_sample, mix
 
 WINDOW, STRIDE = 32, 24
 CUT = 0.3
@@ -226,13 +226,13 @@ def initial(rng: np.random.Generator) -> Params:
     return p | {"ow": make(2 * HIDDEN, scale=0.3), "ob": np.zeros(1, np.float32)}
 
 
-def train(sample: list[tuple[int, int, str]], seed: int = 7) -> Params | None:
-    """Fits the network on (id, label, text) rows; None without both classes."""
-    labels = np.array([label for _, label, _ in sample], dtype=np.int64)
+def train(given: list[int], texts: pa.Array | pa.ChunkedArray, seed: int = 7) -> Params | None:
+    """Fits the network on labels and texts; None without both classes."""
+    labels = np.array(given, dtype=np.int64)
     if len(np.unique(labels)) < 2:
         return None
     rng = np.random.default_rng(seed)
-    words = Words(pa.array([text for _, _, text in sample], pa.large_string()), lower=True)
+    words = Words(texts, lower=True)
     lexicon = Lexicon.of(words)
     # a fifth of the rows sets the cut; the odds that a row sees in training never come from its own half
     part = rng.permutation(len(labels)) % 10
@@ -326,8 +326,12 @@ def worst_logits(p: Params, words: Words) -> np.ndarray:
 
 def score(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every document."""
-    model = train(labelled_sample(docs, labels, "toxic", MODULUS, HELD_OUT, per_class))
-    return apply(docs, model)
+    return apply(docs, fit(docs, labels, per_class))
+
+
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Params | None:
+    """Trains on the bounded sample, in one task."""
+    return fit_in_task(labelled_sample(docs, labels, "toxic", MODULUS, HELD_OUT, per_class), train)
 
 
 def document_scores(p: Params | None, texts: pa.Array) -> np.ndarray:
@@ -357,7 +361,7 @@ def apply(docs: DataFrame, model: Params | None) -> DataFrame:
 
 def keep_clean(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
     """The rows whose score stays below the cut, with all their columns."""
-    shared = docs.sparkSession.sparkContext.broadcast(train(labelled_sample(docs, labels, "toxic", MODULUS, HELD_OUT, per_class)))
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, per_class))
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(document_scores(shared.value, batch.column("text")) < CUT))

@@ -68,8 +68,8 @@ def test_windows_cover_every_word_and_overlap():
 
 @pytest.fixture(scope="module")
 def model():
-    rows = [(i, y, t) for i, t, y in planted(0, 900) if zlib.crc32(str(i).encode()) % 4 != 2]
-    return T.train(rows)
+    rows = [(y, t) for i, t, y in planted(0, 900) if zlib.crc32(str(i).encode()) % 4 != 2]
+    return T.train([y for y, _ in rows], pa.array([t for _, t in rows]))
 
 
 def test_held_out_accuracy(spark, model):
