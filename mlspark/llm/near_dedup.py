@@ -29,6 +29,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mlspark.llm.common import Words, arrow_map, mix
 from mlspark.session import written
@@ -328,22 +329,20 @@ def groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 def deduplicate(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One row of each class, with all columns of ``docs``."""
     keep = groups(docs, similarity).select(F.col("class_id").alias("_id"), F.col("keeper_key").alias("_key")).distinct()
-    # only rows whose id is a class id can stay; of these, the ones with the right text
     ids = keep.groupBy("_id").agg(F.collect_set("_key").alias("_keys"))
-    near = docs.join(ids, docs["doc_id"].eqNullSafe(F.col("_id")))
-    return one_per_key(near, docs.columns)
-
-
-def one_per_key(near: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows whose text's key is wanted for their id; repeated rows once."""
-    fields = [f for f in near.schema if f.name in columns]
-
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        keys = [content_key(t) for t in batch.column("text").to_pylist()]
-        wanted = [k in set(ks) for k, ks in zip(keys, batch.column("_keys").to_pylist(), strict=True)]
-        kept = [batch.column(f.name) for f in fields] + [pa.array(keys, pa.binary())]
-        yield pa.RecordBatch.from_arrays(kept, [*(f.name for f in fields), "_key"]).filter(pa.array(wanted))
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    named = arrow_map(near.select(*columns, "_keys"), run, f"{schema}, _key binary")
-    return named.dropDuplicates(["doc_id", "_key"]).select(*columns)
+    # columns get numbers for names, so that none of theirs meets one of ours
+    names = docs.columns
+    numbered = [f"c{i}" for i in range(len(names))]
+    own = docs.toDF(*numbered)
+    doc_id, text = f"c{names.index('doc_id')}", f"c{names.index('text')}"
+    near = own.join(ids, F.col(doc_id).eqNullSafe(F.col("_id"))).select(*numbered, "_keys")
+
+    def wanted(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        # of the rows with a class's id, those with the right text
+        keys = [content_key(t) for t in batch.column(text).to_pylist()]
+        right = [k in ks for k, ks in zip(keys, batch.column("_keys").to_pylist(), strict=True)]
+        kept = [batch.column(c) for c in numbered] + [pa.array(keys, pa.binary())]
+        yield pa.RecordBatch.from_arrays(kept, [*numbered, "_key"]).filter(pa.array(right, pa.bool_()))
+
+    named = arrow_map(near, wanted, T.StructType([*own.schema.fields, T.StructField("_key", T.BinaryType())]))
+    return named.dropDuplicates([doc_id, "_key"]).select(*numbered).toDF(*names)

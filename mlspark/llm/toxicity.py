@@ -36,8 +36,9 @@ COARSE = ODDS_BITS - VECTOR_BITS
 WIDTH, HIDDEN, ATTENTION = 4, 8, 8
 INPUT = 2 + 2 * WIDTH
 TURNS, STEPS, BATCH = 4, 60, 256
+SMOOTHING = 5.0
 CHUNK = 4096  # windows scored at once
-CLEAN_WEIGHT = 4  # clean documents are rarer in the sample than in a corpus
+CLEAN_PER_TOXIC = 8  # the share that the cut is set for; samples may hold fewer clean documents
 BOS, EOS = 2, 3  # byte values that mark the ends of a word
 
 Params = dict[str, np.ndarray]
@@ -194,11 +195,12 @@ def backward(p: Params, lexicon: Lexicon, codes: np.ndarray, cache, d_logit: np.
 
 
 def odds(buckets: np.ndarray, positive: np.ndarray, negative: np.ndarray, n: tuple[int, int], size: int) -> np.ndarray:
-    """Smoothed log-odds of a bucket among toxic and clean documents; 0 where it is never seen."""
+    """Log-odds of a bucket among toxic and clean documents, drawn to 0 by ``SMOOTHING`` documents; 0 where never seen."""
     pos = np.bincount(buckets, positive, minlength=size)
     neg = np.bincount(buckets, negative, minlength=size)
-    value = np.log((pos + 0.5) / (n[1] + 1)) - np.log((neg + 0.5) / (n[0] + 1))
-    return np.where(pos + neg > 0, np.clip(value, -4, 8), 0).astype(np.float32)
+    share = (n[1] + 1) / (n[0] + n[1] + 2)
+    value = np.log((pos + SMOOTHING * share) / (neg + SMOOTHING * (1 - share))) - np.log(share / (1 - share))
+    return np.clip(value, -8, 8).astype(np.float32)
 
 
 def odds_tables(words: Words, lexicon: Lexicon, labels: np.ndarray, docs: np.ndarray) -> Params:
@@ -302,10 +304,11 @@ def best_cut(logits: np.ndarray, labels: np.ndarray) -> np.ndarray:
     if len(order) < 2 or len(np.unique(labels)) < 2:
         return np.array([0.0, 1.0])
     middles = (order[1:] + order[:-1]) / 2
+    weight = CLEAN_PER_TOXIC * (labels == 1).sum() / (labels == 0).sum()
     f1 = []
     for cut in middles:
         hit, false = ((logits >= cut) & (labels == 1)).sum(), ((logits >= cut) & (labels == 0)).sum()
-        f1.append(2 * hit / max(1, hit + CLEAN_WEIGHT * false + (labels == 1).sum()))
+        f1.append(2 * hit / max(1, hit + weight * false + (labels == 1).sum()))
     top = np.flatnonzero(np.array(f1) >= max(f1) - 1e-12)
     return np.array([float(middles[top[len(top) // 2]]), 1.0])
 
