@@ -38,6 +38,7 @@ INPUT = 2 + 2 * WIDTH
 TURNS, STEPS, BATCH = 4, 60, 256
 SMOOTHING = 5.0
 CHUNK = 4096  # windows scored at once
+PART = 1 << 15  # dictionary words described at once
 CLEAN_PER_TOXIC = 8  # the share that the cut is set for; samples may hold fewer clean documents
 BOS, EOS = 2, 3  # byte values that mark the ends of a word
 
@@ -54,9 +55,21 @@ class Lexicon:
 
     @staticmethod
     def of(words: Words) -> Lexicon:
+        """Built ``PART`` words at a time, so that temporary arrays stay small."""
         data, offsets = words.letters()
-        sizes = np.diff(offsets)
         word = (words.hashes() >> np.uint64(64 - ODDS_BITS)).astype(np.int64)
+        grams, counts = [np.empty(0, np.int32)], [np.zeros(1, np.int64)]
+        for at in range(0, len(word), PART):
+            part = offsets[at : at + PART + 1]
+            found, count = Lexicon.grams_of(data[part[0] : part[-1]], part - part[0])
+            grams.append(found)
+            counts.append(count)
+        return Lexicon(word, np.concatenate(grams), np.cumsum(np.concatenate(counts)))
+
+    @staticmethod
+    def grams_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Buckets of the character n-grams of words, word by word, and their number per word."""
+        sizes = np.diff(offsets)
         # each word between its two marks
         marked = np.zeros(len(data) + 2 * len(sizes), np.uint64)
         starts = offsets[:-1] + 2 * np.arange(len(sizes))
@@ -70,12 +83,14 @@ class Lexicon:
             code = np.full(count, n, np.uint64)
             for k in range(n):
                 code = code * np.uint64(257) + marked[k : k + count]
-            found.append((mix(code) >> np.uint64(64 - ODDS_BITS)).astype(np.int64)[same])
+            found.append((mix(code) >> np.uint64(64 - ODDS_BITS)).astype(np.int32)[same])
             owners.append(owner[:count][same])
         grams, owner = np.concatenate(found), np.concatenate(owners)
-        order = np.argsort(owner, kind="stable")
-        bounds = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(sizes)))])
-        return Lexicon(word, grams[order], bounds)
+        return grams[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(sizes))
+
+    def part(self, a: int, b: int) -> Lexicon:
+        bounds = self.bounds[a : b + 1]
+        return Lexicon(self.word[a:b], self.grams[bounds[0] : bounds[-1]], bounds - bounds[0])
 
     def spread(self, values: np.ndarray, combine: np.ufunc, coarse: int = 0) -> np.ndarray:
         """Combines the values of each word's n-grams; 0 for a word shorter than any n-gram."""
@@ -87,13 +102,16 @@ class Lexicon:
 
     def inputs(self, p: Params) -> np.ndarray:
         """One input row per dictionary word."""
-        n = np.maximum(np.diff(self.bounds), 1)[:, None].astype(np.float32)
+        n = len(self.word)
+        if n > PART:
+            return np.concatenate([self.part(at, min(at + PART, n)).inputs(p) for at in range(0, n, PART)])
+        number = np.maximum(np.diff(self.bounds), 1)[:, None].astype(np.float32)
         return np.concatenate(
             [
                 p["word_odds"][self.word][:, None],
                 self.spread(p["gram_odds"], np.maximum)[:, None],
                 p["word_vec"][self.word >> COARSE],
-                self.spread(p["gram_vec"], np.add, COARSE) / n,
+                self.spread(p["gram_vec"], np.add, COARSE) / number,
             ],
             axis=1,
         )
@@ -111,7 +129,7 @@ def window_codes(words: Words, owner: np.ndarray, start: np.ndarray, length: np.
     """(windows, WINDOW) word codes; places after the end hold the code one past the dictionary."""
     at = (words.starts[:-1][owner] + start)[:, None] + np.arange(WINDOW)
     codes = np.concatenate([words.codes, np.zeros(WINDOW, np.int64)])[np.minimum(at, len(words.codes))]
-    return np.where(np.arange(WINDOW) < length[:, None], codes, len(words.dictionary))
+    return np.where(np.arange(WINDOW) < length[:, None], codes, len(words.dictionary)).astype(np.int32)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
