@@ -1,10 +1,9 @@
 """Quality rules: base counts and a hashed n-gram log-likelihood ratio (operator 5).
 
 Every text is described by its runs of ``GRAM`` bytes, hashed into ``BUCKETS`` buckets.  The raw corpus
-multinomial counts all documents.  The trusted multinomial counts documents labelled as good, at most
-``TRUSTED`` of them, chosen by the hash of their id.  A document's score is the mean over its n-grams
-of log(trusted / raw), in fixed point, so it does not depend on how rows are batched; it is kept if it
-passes the base rules and the score reaches ``THRESHOLD``.
+multinomial counts all documents, the trusted one all documents labelled as good.  A document's score
+is the mean over its n-grams of log(trusted / raw), in fixed point, so it does not depend on how rows
+are batched; it is kept if it passes the base rules and the score reaches ``THRESHOLD``.
 
 Defined cases: a missing or empty text has no words and fails the base rules; equal rows are judged
 alike; without trusted documents every score is 0 and the base rules decide; other columns are
@@ -26,7 +25,6 @@ from mlspark.session import ship
 
 BITS = 16
 BUCKETS = 1 << BITS
-TRUSTED = 20_000
 GRAM = 4
 THRESHOLD = -0.4
 SMOOTHING = 20.0
@@ -36,10 +34,10 @@ SYMBOLS = "[#*$%&|<>]"
 BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean"
 
 
-def trusted_ids(labels: DataFrame, limit: int = TRUSTED) -> DataFrame:
-    """Ids of documents labelled as good, at most ``limit``, by the hash of the id."""
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Ids of all documents labelled as good, each once."""
     good = labels.groupBy("doc_id").agg(F.min("quality").alias("quality")).filter((F.col("quality") == 1) & F.col("doc_id").isNotNull())
-    return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).select(F.col("doc_id").alias("_trusted_id"))
+    return good.select(F.col("doc_id").alias("_trusted_id"))
 
 
 def gram_buckets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -61,9 +59,12 @@ def gram_buckets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def bucket_counts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """(bucket, raw, trusted): n-grams of all documents and of the trusted ones, summed per task first."""
+    """(bucket, raw, trusted): n-grams of all documents and of the trusted ones, summed per task first.
+
+    The ids are hashed per partition at every size, so texts are dealt out once and never sorted.
+    """
     ship(docs.sparkSession)
-    marked = docs.select("doc_id", "text").join(F.broadcast(trusted), F.col("doc_id") == F.col("_trusted_id"), "left")
+    marked = docs.select("doc_id", "text").join(trusted.hint("shuffle_hash"), F.col("doc_id") == F.col("_trusted_id"), "left")
     marked = marked.select("text", F.col("_trusted_id").isNotNull().alias("good"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,16 +86,18 @@ def bucket_counts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
 def log_ratios(counts: DataFrame) -> np.ndarray:
     """log(trusted / raw) of each bucket in fixed point; collects at most ``BUCKETS`` rows.
 
-    Both shares get ``SMOOTHING`` n-grams per bucket, so rare buckets say little and a bucket that the
-    trusted texts never use gets a bounded negative value.
+    Both shares get ``SMOOTHING`` n-grams per bucket, and never less than one trusted n-gram stands for,
+    so rare buckets say little, however few documents are labelled: buckets that the trusted texts miss
+    by chance are made up for by those they meet by chance, to within -0.2 on average.
     """
     raw, good = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for row in counts.collect():
         raw[row["bucket"]], good[row["bucket"]] = row["raw"], row["trusted"]
     if not good.sum():
         return np.zeros(BUCKETS, np.int64)
-    expected = good * (raw.sum() / good.sum())
-    return np.rint(np.log((expected + SMOOTHING) / (raw + SMOOTHING)) * UNIT).astype(np.int64)
+    ratio = raw.sum() / good.sum()
+    smoothing = max(SMOOTHING, ratio)
+    return np.rint(np.log((good * ratio + smoothing) / (raw + smoothing)) * UNIT).astype(np.int64)
 
 
 def repeated_words(codes: np.ndarray) -> int:
@@ -143,9 +146,9 @@ def mean_ratios(texts: pa.Array, ratios: np.ndarray) -> np.ndarray:
     return np.diff(totals[bounds]) / np.maximum(np.diff(bounds) - GRAM + 1, 1) / UNIT
 
 
-def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, limit: int = TRUSTED) -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Base counts, score and verdict of every document."""
-    ratios = log_ratios(bucket_counts(docs, trusted_ids(labels, limit)))
+    ratios = log_ratios(bucket_counts(docs, trusted_ids(labels)))
     names = ["doc_id", *(part.split()[0] for part in BASE.split(", ")), "kept", "score"]
 
     def score(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -157,9 +160,9 @@ def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, limi
     return arrow_map(docs.select("doc_id", "text"), score, f"doc_id long, {BASE}, kept boolean, score double")
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, limit: int = TRUSTED) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows that pass, with all their columns."""
-    ratios = log_ratios(bucket_counts(docs, trusted_ids(labels, limit)))
+    ratios = log_ratios(bucket_counts(docs, trusted_ids(labels)))
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         failed = base_counts(batch.column("text"), Words(batch.column("text")))[-1]

@@ -82,3 +82,23 @@ def test_windows_of_many_distinct_words():
 
     codes = np.array([5, 6, 7, 1 << 22, 5, 6, 7, 9])
     assert Q.repeated_words(codes) == 6 == Q.repeated_words(codes % (1 << 20))
+
+
+def test_every_good_document_is_counted(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.range(21_000).select(F.col("id").alias("doc_id"), F.lit("abcdefg").alias("text"))
+    labels = docs.filter("doc_id >= 500").select("doc_id", F.lit(1).alias("quality"))
+    counts = Q.bucket_counts(docs, Q.trusted_ids(labels)).agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted")).first()
+    assert (counts["raw"], counts["trusted"]) == (4 * 21_000, 4 * 20_500)
+
+
+def test_a_small_trusted_share_is_not_junk_by_chance(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    for usual in (100, 600, 1200, 3000):
+        good = rng.poisson(usual / 600, 2000)
+        counts = [(i, usual, int(n)) for i, n in enumerate(good)] + [(9999, 60_000_000, 100_000)]
+        ratios = Q.log_ratios(spark.createDataFrame(counts, "bucket long, raw long, trusted long"))
+        assert ratios[:2000].mean() / Q.UNIT > Q.THRESHOLD / 2
