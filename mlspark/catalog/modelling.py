@@ -48,8 +48,7 @@ def f2(spark, sf):
 )
 def f3(spark, sf):
     orders = table(spark, sf, "orders")
-    known = X.fit_one_hot(orders.filter("o_orderstatus <> 'P'"), ["o_orderstatus"])["o_orderstatus"]
-    return orders.select("o_orderkey", X.one_hot_ignore_unknown("o_orderstatus", known).alias("status"))
+    return X.one_hot_known(orders, "o_orderstatus", orders.filter("o_orderstatus <> 'P'"), "status").select("o_orderkey", "status")
 
 
 @query(

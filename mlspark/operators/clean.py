@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from mlspark.functions.columns import to_numeric
+from mlspark.plans.ordered import row_index
+from mlspark.session import written
 
 MAX_CATEGORIES = 1000
 
@@ -37,13 +40,44 @@ def categories(df: DataFrame, cols: Sequence[str], limit: int = MAX_CATEGORIES)
     return out
 
 
+def is_wide(df: DataFrame, col: str, limit: int = MAX_CATEGORIES) -> bool:
+    """Whether a column has more categories than may become columns or literals."""
+    return df.select(col).filter(F.col(col).isNotNull()).distinct().limit(limit + 1).count() > limit
+
+
+def category_index(df: DataFrame, col: str) -> DataFrame:
+    """(_value, _place): every distinct value with its 0-based place in sorted order, numbered on the executors."""
+    values = df.select(F.col(col).alias("_value")).filter("_value IS NOT NULL").distinct()
+    ranged = values.repartitionByRange("_value").sortWithinPartitions("_value").withColumn("_id", F.monotonically_increasing_id())
+    indexed = row_index(written(ranged, "categories"), [], "_id", out="_idx")
+    return written(indexed.select("_value", (F.col("_idx") - 1).alias("_place")), "category-index")
+
+
+def one_hot_sparse(df: DataFrame, col: str, index: DataFrame, out: str, drop_first: bool = False) -> DataFrame:
+    """Adds a sparse 0/1 vector over the places of ``index``; an unseen or missing value gives all 0."""
+    skip = int(drop_first)
+    n = index.count() - skip
+    # n stands for no category: the encoder keeps it as a last place and drops that
+    place = F.when(F.col("_place") >= skip, F.col("_place") - skip).otherwise(F.lit(n)).cast("double")
+    joined = df.join(index, F.col(col) == F.col("_value"), "left").withColumn("_place", place)
+    encoder = OneHotEncoder(inputCols=["_place"], outputCols=[out], handleInvalid="keep", dropLast=True)
+    sizes = df.sparkSession.range(n).select(F.col("id").cast("double").alias("_place"))
+    return encoder.fit(sizes).transform(joined).drop("_value", "_place")
+
+
 def one_hot(
     df: DataFrame, cols: Sequence[str], drop_first: bool = False, fitted: Mapping[str, Sequence] | None = None
 ) -> DataFrame:
-    """0/1 columns ``col_value`` in sorted category order, replacing the column; missing gives all 0."""
-    known = fitted or categories(df, cols)
+    """0/1 columns ``col_value`` in sorted category order, replacing the column; missing gives all 0.
+
+    A column of more than ``MAX_CATEGORIES`` values becomes one sparse vector ``col_onehot`` in that order.
+    """
+    wide = [] if fitted else [c for c in cols if is_wide(df, c)]
+    known = fitted or categories(df, [c for c in cols if c not in wide])
+    for c in wide:
+        df = one_hot_sparse(df, c, category_index(df, c), f"{c}_onehot", drop_first)
     out = [F.col(c) for c in df.columns if c not in cols]
-    for c in cols:
+    for c in [c for c in cols if c not in wide]:
         for value in known[c][1 if drop_first else 0:]:
             out.append(F.coalesce((F.col(c) == value).cast("int"), F.lit(0)).alias(f"{c}_{value}"))
     return df.select(*out)

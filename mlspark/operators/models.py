@@ -17,7 +17,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import PCA, SQLTransformer, VectorAssembler
+from pyspark.ml.feature import PCA, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (
     DecisionTreeRegressor,
@@ -28,7 +28,7 @@ from pyspark.ml.regression import (
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mlspark.operators.clean import categories, most_frequent, require_columns
+from mlspark.operators.clean import categories, is_wide, most_frequent, require_columns
 from mlspark.operators.metrics import accuracy, classification_report, regression_metrics
 from mlspark.operators.sampling import kfold, split_random
 from mlspark.session import written
@@ -71,8 +71,11 @@ class ColumnPipeline:
                 mean, std = row[f"m_{c}"], row[f"s_{c}"] or 1.0
                 exprs.append((f"num_{c}", f"(coalesce(CAST(`{c}` AS DOUBLE), {mean!r}D) - {mean!r}D) / {std!r}D"))
         fill = most_frequent(df, [*self.nominal, *self.ordinal])
-        known = categories(df, self.nominal)
-        for c in self.nominal:
+        wide = [c for c in self.nominal if is_wide(df, c)]
+        known = categories(df, [c for c in self.nominal if c not in wide])
+        for c in wide:
+            exprs.append((f"str_{c}", f"CAST(coalesce(`{c}`, {_quoted(fill[c])}) AS STRING)"))
+        for c in known:
             filled = f"coalesce(`{c}`, {_quoted(fill[c])})"
             for at, value in enumerate(known[c]):
                 exprs.append((f"nom_{c}_{at}", f"CASE WHEN {filled} = {_quoted(value)} THEN 1D ELSE 0D END"))
@@ -81,8 +84,16 @@ class ColumnPipeline:
             cases = " ".join(f"WHEN {_quoted(v)} THEN {float(at)!r}D" for at, v in enumerate(order))
             exprs.append((f"ord_{c}", f"CASE {filled} {cases} ELSE -1D END"))
         statement = "SELECT *, " + ", ".join(f"{e} AS `{name}`" for name, e in exprs) + " FROM __THIS__"
-        names = [name for name, _ in exprs]
+        names = [f"nom_{name[4:]}" if name[4:] in wide and name.startswith("str_") else name for name, _ in exprs]
         project = [SQLTransformer(statement=statement)] if exprs else []
+        if wide:
+            # too many for one expression each: an index that is saved with the model, and sparse vectors; unseen ones are all 0
+            texts, places, vectors = ([f"{kind}_{c}" for c in wide] for kind in ("str", "idx", "nom"))
+            indexer = StringIndexer(inputCols=texts, outputCols=places, stringOrderType="alphabetAsc", handleInvalid="keep")
+            index = indexer.fit(project[0].transform(df))
+            # the index keeps one place more, for unseen values, which the encoder drops
+            encoder = OneHotEncoder(inputCols=places, outputCols=vectors, dropLast=True)
+            project += [index, encoder.fit(index.transform(project[0].transform(df)))]
         return [*project, VectorAssembler(inputCols=[*names, *self.passthrough], outputCol=self.output)]
 
     def fit(self, df: DataFrame, estimator=None) -> PipelineModel:

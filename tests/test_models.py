@@ -210,3 +210,22 @@ def test_sentence_packing_and_summary(spark):
 def test_argmax_first_on_ties(spark):
     df = spark.createDataFrame([([0.2, 0.9, 0.9],)], "s array<double>")
     assert df.select(C.argmax_label("s", ["a", "b", "c"])).first()[0] == "b"
+
+
+def test_a_column_of_5000_categories_is_encoded(spark):
+    from mlspark.operators import clean, features
+
+    rows = [(i, f"v{i % 5000:04d}") for i in range(6000)] + [(6000, None)]
+    df = spark.createDataFrame(rows, "id long, c string")
+    for first in (0, 1):
+        out = {r["id"]: r["c_onehot"] for r in clean.one_hot(df, ["c"], drop_first=bool(first)).collect()}
+        assert len(out) == 6001 and all(v.size == 5000 - first for v in out.values())
+        assert all(list(out[i].indices) == [i % 5000 - first] for i in range(6000) if i % 5000 >= first)
+        assert out[6000].numNonzeros() == 0 and (not first or out[0].numNonzeros() == 0)
+    seen = df.filter("id >= 1000 AND id < 5000")
+    known = {r["id"]: r["x"] for r in features.one_hot_known(df, "c", seen, "x").collect()}
+    assert known[999].numNonzeros() == known[6000].numNonzeros() == 0 and list(known[1000].indices) == [0] and known[0].size == 4000
+    model = models.ColumnPipeline(nominal=["c"]).fit(seen)
+    wide = {r["id"]: r["features"] for r in model.transform(df).collect()}
+    assert wide[4321].size == 4000 and list(wide[4321].indices) == [3321] and wide[999].numNonzeros() == 0
+    assert list(wide[6000].indices) == [0]
