@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mlspark.llm import near_dedup, neighbours, packing, pieces, pii, quality_classifier, quality_rules, secrets, toxicity, warc
+from mlspark.llm import near_dedup, neighbours, packing, pieces, pii, quality_classifier, quality_rules, repeats, secrets, toxicity, warc
 from mlspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_nearest_neighbours")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.report(repeats.find(repeats.plant(table(spark, sf_dir, "documents"))))
