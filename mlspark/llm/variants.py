@@ -107,19 +107,20 @@ def paths(words: DataFrame, shortest: int) -> DataFrame:
 
 
 def edges(path: DataFrame) -> DataFrame:
-    """(side, node, label, ends): the edges, ``ends`` where the child is a word; a word's node also has an empty label."""
-    size, cuts = F.length("key"), F.col("cuts")
+    """(side, node, label, ends, heads): the edges, ``ends`` where the child is a word, and the letters that its own
+    edges begin with.  A word's node also has an empty label."""
+    cuts = F.col("cuts")
 
     def step(i: Column) -> Column:
         a, b = F.get(cuts, i), F.get(cuts, i + 1)
-        return F.struct(
-            F.left("key", a).alias("node"), F.substring("key", a + 1, b - a).alias("label"), (b == size).alias("ends")
-        )
+        head = F.substring("key", b + 1, F.lit(1))
+        return F.struct(F.left("key", a).alias("node"), F.substring("key", a + 1, b - a).alias("label"), head.alias("head"))
 
     steps = F.when(F.size(cuts) > 1, F.transform(F.sequence(F.lit(0), F.size(cuts) - 2), step))
-    own = F.array(F.struct(F.col("key").alias("node"), F.lit("").alias("label"), F.lit(True).alias("ends")))
-    rows = path.select("side", F.inline(F.concat(F.coalesce(steps, F.array().cast("array<struct<node:string,label:string,ends:boolean>>")), own)))
-    return rows.groupBy("side", "node", "label").agg(F.max("ends").alias("ends"))
+    own = F.array(F.struct(F.col("key").alias("node"), F.lit("").alias("label"), F.lit("").alias("head")))
+    rows = path.select("side", F.inline(F.concat(F.coalesce(steps, F.array().cast("array<struct<node:string,label:string,head:string>>")), own)))
+    heads = F.array_join(F.sort_array(F.collect_set("head")), "").alias("heads")
+    return rows.groupBy("side", "node", "label").agg(F.max(F.col("head") == "").alias("ends"), heads)
 
 
 def salts(node: Column, near_root: int) -> Column:
@@ -132,7 +133,7 @@ def rest(key: Column | str, pos: Column, length: Column) -> Column:
 
 
 def leave(own: DataFrame, edge: DataFrame, near_root: int) -> DataFrame:
-    """States with one edit, from the nodes of the words' own paths: (side, key, pos, node, ends)."""
+    """States with one edit, from the nodes of the words' own paths: (side, key, pos, node, done)."""
     salt = F.pmod(F.xxhash64("key"), salts(F.col("node"), near_root)).cast("int")
     copies = F.explode(F.sequence(F.lit(0), salts(F.col("node"), near_root) - 1)).alias("salt")
     met = own.withColumn("salt", salt).join(edge.select("*", copies), ["side", "node", "salt"])
@@ -147,14 +148,22 @@ def leave(own: DataFrame, edge: DataFrame, near_root: int) -> DataFrame:
     )
     last_goes = (label == "") & (pos == size - 1)
     after = F.when(last_goes, F.array(size)).when((label != "") & other, F.array_distinct(F.array_compact(states)))
-    return met.select("side", "key", F.explode(after).alias("pos"), F.concat("node", "label").alias("node"), "ends")
+    return alive(met.select("side", "key", F.explode(after).alias("pos"), F.concat("node", "label").alias("node"), "ends", "heads"))
 
 
 def follow(states: DataFrame, edge: DataFrame) -> DataFrame:
     """One level further: labels agree whole."""
-    met = states.drop("ends").join(edge, ["side", "node"])
+    met = states.drop("done").join(edge, ["side", "node"])
     agrees = (F.col("label") != "") & (F.col("label") == rest("key", F.col("pos"), F.length("label")))
-    return met.filter(agrees).select("side", "key", (F.col("pos") + F.length("label")).alias("pos"), F.concat("node", "label").alias("node"), "ends")
+    after = (F.col("pos") + F.length("label")).alias("pos")
+    return alive(met.filter(agrees).select("side", "key", after, F.concat("node", "label").alias("node"), "ends", "heads"))
+
+
+def alive(states: DataFrame) -> DataFrame:
+    """States at a word's end that are a word, and those with an edge that begins with their next letter."""
+    over = F.col("pos") == F.length("key")
+    goes_on = F.contains("heads", rest("key", F.col("pos"), F.lit(1)))
+    return states.filter(F.when(over, F.col("ends")).otherwise(goes_on)).select("side", "key", "pos", "node", over.alias("done"))
 
 
 def near(words: DataFrame, shortest: int = SHORTEST) -> DataFrame:
@@ -171,9 +180,9 @@ def near(words: DataFrame, shortest: int = SHORTEST) -> DataFrame:
     found = None
     while True:
         states = written(states, "frontier")
-        done = states.filter((F.col("pos") == F.length("key")) & F.col("ends")).select("side", "key", "node")
+        done = states.filter("done").select("side", "key", "node")
         found = done if found is None else found.unionByName(done)
-        states = states.filter(F.col("pos") < F.length("key"))
+        states = states.filter("NOT done")
         if states.isEmpty():
             break
         states = follow(states, edge)
