@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mlspark.llm import near_dedup, neighbours, packing, pieces, pii, quality_classifier, quality_rules, repeats, secrets, toxicity, variants, warc
+from mlspark.llm import licenses, near_dedup, neighbours, packing, pieces, pii, quality_classifier, quality_rules, repeats, secrets, toxicity, variants, warc
 from mlspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,6 +79,11 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.report(repeats.find(repeats.plant(table(spark, sf_dir, "documents"))))
 
 
+@query("op12_license_scan")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.report(licenses.scan(table(spark, sf_dir, "documents")))
+
+
 @query("op13_spelling_variants")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     occurrences = variants.perturbed(variants.occurrences(table(spark, sf_dir, "documents")))
