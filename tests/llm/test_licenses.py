@@ -95,7 +95,7 @@ def test_rules_are_gated_by_words_they_need():
         """The words of all branches of a group; none if it may be skipped or must not follow."""
         if m[3] or m[1] == "?!":
             return ""
-        return " ".join(set.intersection(*[set(re.findall("[a-z0-9]+", branch)) for branch in m[2].split("|")]))
+        return f" {' '.join(set.intersection(*[set(re.findall('[a-z0-9]+', branch)) for branch in m[2].split('|')]))} "
 
     for r in RULES:
         always, before = re.sub(r"\.\{[^}]*\}\??", " ", r.pattern), None
