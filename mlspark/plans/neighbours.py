@@ -6,23 +6,29 @@ on the cell, only to cells that can hold a neighbour (triangle inequality).  Cel
 and queries into blocks of a fixed size, so a task holds a bounded number of rows however uneven the
 cells are.  Each task keeps k rows per query.
 
-Sparse vectors: only rows that share a dimension can be similar.  The holders of a dimension are cut into
-chunks of a fixed size and joined chunk pair by chunk pair, so no task holds a whole popular dimension.
+Sparse vectors: rows are dealt into blocks, and pairs of blocks are multiplied as sparse matrices inside tasks
+that keep k rows per row and block, so the output of a task does not depend on how popular a dimension is.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mlspark.session import ship, written
+
 CHUNK = 4096
+SPARSE_CHUNK = 2048  # rows of a block of sparse vectors
+PRODUCTS = 1 << 22  # products of weights made at once
 FEW_PIVOTS = 256
 DIGITS = 6
 
@@ -227,26 +233,95 @@ def vector_within(
     return _search(left, right, None, tolerance, exclude_self, pivots, chunk).drop("exact")
 
 
-def sparse_topk(vectors: DataFrame, k: int, chunk: int = CHUNK) -> DataFrame:
+def sparse_topk(vectors: DataFrame, k: int, chunk: int = SPARSE_CHUNK) -> DataFrame:
     """Exact k most similar rows per row, from unit vectors (id, dim, weight >= 0) in long form.
 
     Returns (a, b, sim, rank); only rows with a positive similarity appear, ties go to the smaller id.
 
-    A dimension with n holders has ceil(n / chunk) parts, and its pairs are made per pair of parts: an
-    entry goes once to each part at or after its own as the left side, and to each part at or before
-    it as the right side.  Products are summed per pair before they are shuffled.
+    Equal rows form a class, which stands for them by its k + 1 smallest ids.  Classes are dealt into
+    blocks of about ``chunk`` and every pair of blocks is multiplied in one task, which keeps k + 1 ids for
+    each class and block.  So a popular dimension makes no rows: what is shuffled is at most classes x
+    blocks x (k + 1), and no task holds more than two blocks and their product.
     """
-    parts = vectors.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("_parts"))
-    own = F.pmod(F.xxhash64("id", F.lit(3)), F.col("_parts")).cast("int")
-    placed = vectors.join(parts, "dim").withColumn("_part", own)
-    left = placed.select("dim", F.col("id").alias("a"), F.col("weight").alias("wa"), F.col("_part").alias("_i"), F.explode(F.sequence("_part", F.col("_parts") - 1)).alias("_j"))
-    right = placed.select("dim", F.col("id").alias("b"), F.col("weight").alias("wb"), F.col("_part").alias("_j"), F.explode(F.sequence(F.lit(0), "_part")).alias("_i"))
-    pairs = left.join(right, ["dim", "_i", "_j"]).filter((F.col("_i") < F.col("_j")) | (F.col("a") < F.col("b"))).filter("a <> b")
-    once = pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum(F.col("wa") * F.col("wb")).alias("sim"))
-    both = F.array(F.struct(F.col("a").alias("a"), F.col("b").alias("b")), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
-    sims = once.filter("sim > 0").select(F.explode(both).alias("p"), "sim").select("p.a", "p.b", "sim")
-    near = W.partitionBy("a").orderBy(F.round("sim", DIGITS).desc(), "b")
-    return sims.withColumn("rank", F.row_number().over(near)).filter(F.col("rank") <= k).withColumn("rank", F.col("rank").cast("long"))
+    entry = F.struct("dim", "weight")
+    rows = vectors.groupBy("id").agg(F.array_sort(F.collect_list(entry)).alias("vec"))
+    # lengths are sums in any order, so equal rows may differ in the last digits
+    key = F.transform("vec", lambda e: F.struct(e["dim"], F.round(e["weight"], 12)))
+    label = F.concat_ws(":", F.xxhash64(key), F.xxhash64(F.lit("second"), key))
+    rows = written(rows.withColumn("label", label), "rows")
+    place = F.row_number().over(W.partitionBy("label").orderBy("id"))
+    first = rows.withColumn("_place", place).filter(F.col("_place") <= k + 1)
+    classes = first.groupBy("label").agg(F.array_sort(F.collect_list("id")).alias("ids"), F.min_by("vec", "id").alias("vec"))
+    classes = written(classes, "classes")
+    n = max(1, -(-classes.count() // chunk))
+    dealt = classes.withColumn("_i", F.pmod(F.xxhash64("label"), F.lit(n)).cast("int"))
+    packed = dealt.groupBy("_i").agg(F.collect_list(F.struct("label", "ids", "vec")).alias("rows"))
+    left = packed.select("_i", F.col("rows").alias("left"), F.explode(F.sequence("_i", F.lit(n - 1))).alias("_j"))
+    right = packed.select(F.col("_i").alias("_j"), F.col("rows").alias("right"), F.explode(F.sequence(F.lit(0), "_i")).alias("_i"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                same = batch.column("_i")[r].as_py() == batch.column("_j")[r].as_py()
+                yield from block_lists(batch.column("left")[r].values, batch.column("right")[r].values, k, same)
+
+    kind = vectors.schema["id"].dataType.simpleString()
+    ship(vectors.sparkSession)
+    found = left.join(right, ["_i", "_j"]).select("_i", "_j", "left", "right").mapInArrow(run, f"label string, b {kind}, sim double")
+    best = W.partitionBy("label").orderBy(F.round("sim", DIGITS).desc(), "b")
+    lists = found.withColumn("_place", F.row_number().over(best)).filter(F.col("_place") <= k + 1)
+    lists = lists.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("_place", "b", "sim"))).alias("list"))
+    mine = F.slice(F.filter("list", lambda e: e["b"] != F.col("a")), 1, k)
+    out = rows.select(F.col("id").alias("a"), "label").join(lists, "label").select("a", F.posexplode(mine).alias("_at", "e"))
+    return out.select("a", F.col("e.b").alias("b"), F.col("e.sim").alias("sim"), (F.col("_at") + 1).cast("long").alias("rank"))
+
+
+def _flat(rows: pa.StructArray) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """(row, dimension, weight) of every entry of a block's rows."""
+    lists = rows.field("vec")
+    entries = lists.flatten()
+    owner = np.repeat(np.arange(len(rows)), np.diff(lists.offsets.to_numpy()))
+    return owner, entries.field("dim"), entries.field("weight").to_numpy(zero_copy_only=False)
+
+
+def product(left: pa.StructArray, right: pa.StructArray) -> np.ndarray:
+    """Similarities of the rows of two blocks; only dimensions that both hold are multiplied."""
+    (row_a, dim_a, w_a), (row_b, dim_b, w_b) = _flat(left), _flat(right)
+    codes = pa.chunked_array([dim_a, dim_b]).combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    code_a, code_b = codes[: len(row_a)], codes[len(row_a) :]
+    order = np.argsort(code_b, kind="stable")
+    row_b, w_b = row_b[order], w_b[order]
+    first = np.searchsorted(code_b[order], code_a)
+    many = np.searchsorted(code_b[order], code_a, side="right") - first
+    sims = np.zeros(len(left) * len(right))
+    ends = np.cumsum(many)
+    at = 0
+    while at < len(many):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PRODUCTS, side="right")))
+        n = many[at:to]
+        mine = np.repeat(np.arange(at, to), n)
+        other = np.repeat(first[at:to] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        sims += np.bincount(row_a[mine] * len(right) + row_b[other], w_a[mine] * w_b[other], len(sims))
+        at = to
+    return sims.reshape(len(left), len(right))
+
+
+def block_lists(left: pa.StructArray, right: pa.StructArray, k: int, same: bool) -> Iterator[pa.RecordBatch]:
+    """(label, b, sim): for each row of either block the k + 1 best ids of the other; ``same`` blocks go one way."""
+    sims = product(left, right)
+    for own, other, table in ((left, right, sims),) if same else ((left, right, sims), (right, left, sims.T)):
+        ids = other.field("ids").to_pylist()
+        by_id = np.array(sorted(range(len(ids)), key=lambda c: ids[c][0]))
+        rounded = np.round(table[:, by_id], DIGITS)
+        labels, found, values = [], [], []
+        for r, label in enumerate(own.field("label").to_pylist()):
+            pairs = [(-rounded[r, c], i, table[r, by_id[c]]) for c in first_best(rounded[r], k + 1) if table[r, by_id[c]] > 0 for i in ids[by_id[c]]]
+            for _, i, value in sorted(pairs)[: k + 1]:
+                labels.append(label)
+                found.append(i)
+                values.append(value)
+        id_type = other.field("ids").type.value_type
+        yield pa.RecordBatch.from_arrays([pa.array(labels, pa.string()), pa.array(found, id_type), pa.array(values, pa.float64())], ["label", "b", "sim"])
 
 
 def unit_rows(entries: DataFrame, id: str, dim: str, value: str) -> DataFrame:

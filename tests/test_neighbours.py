@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from pyspark.sql import functions as F
@@ -64,6 +65,26 @@ def test_sparse_topk(spark, chunk):
         assert np.allclose(got[got.a == i].sim, sims[i][want])
 
 
+def test_popular_dimensions_make_no_rows(spark):
+    """Every row holds every dimension: what is shuffled is bounded by classes x blocks x (k + 1)."""
+    rng = np.random.default_rng(3)
+    dense = rng.integers(1, 9, (90, 6))
+    dense[30:60] = dense[30]  # a third of all rows are copies
+    entries = pd.DataFrame([(f"r{i:02d}", f"d{j}", int(v)) for (i, j), v in np.ndenumerate(dense)], columns=["u", "i", "r"])
+    rows = neighbours.unit_rows(spark.createDataFrame(entries), "u", "i", "r")
+    got = neighbours.sparse_topk(rows, 3, 16).toPandas()
+    unit = dense / np.linalg.norm(dense, axis=1, keepdims=True)
+    sims = unit @ unit.T
+    np.fill_diagonal(sims, -1)
+    for i in range(90):
+        want = np.lexsort((np.arange(90), -sims[i].round(6)))[:3]
+        assert list(got[got.a == f"r{i:02d}"].sort_values("rank").b) == [f"r{j:02d}" for j in want]
+    packed = [[{"label": str(i), "ids": [i], "vec": [{"dim": j, "weight": 0.5} for j in range(4)]} for i in range(s, s + 20)] for s in (0, 20)]
+    kind = pa.struct([("label", pa.string()), ("ids", pa.list_(pa.int64())), ("vec", pa.list_(pa.struct([("dim", pa.int64()), ("weight", pa.float64())])))])
+    out = list(neighbours.block_lists(*[pa.array(p, kind) for p in packed], 3, False))
+    assert sum(b.num_rows for b in out) == 2 * 20 * 4
+
+
 def test_smote_balances_between_neighbours(spark):
     rng = np.random.default_rng(9)
     data = pd.DataFrame({"id": range(200), "y": [1] * 12 + [0] * 188, "x": list(map(list, rng.normal(0, 1, (200, 3))))})
