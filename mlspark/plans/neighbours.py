@@ -24,7 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mlspark.session import ship, written
+from mlspark.session import partitions, ship, written
 
 CHUNK = 4096
 SPARSE_CHUNK = 2048  # rows of a block of sparse vectors
@@ -267,7 +267,10 @@ def sparse_topk(vectors: DataFrame, k: int, chunk: int = SPARSE_CHUNK) -> DataFr
 
     kind = vectors.schema["id"].dataType.simpleString()
     ship(vectors.sparkSession)
-    found = left.join(right, ["_i", "_j"]).select("_i", "_j", "left", "right").mapInArrow(run, f"label string, b {kind}, sim double")
+    # few bytes, much work: the planner must not put all pairs of blocks into one task
+    parts = max(partitions(vectors.sparkSession), min(2 * n * (n + 1), 10_000))
+    pairs = left.repartition(parts, "_i", "_j").join(right.repartition(parts, "_i", "_j"), ["_i", "_j"])
+    found = pairs.select("_i", "_j", "left", "right").mapInArrow(run, f"label string, b {kind}, sim double")
     best = W.partitionBy("label").orderBy(F.round("sim", DIGITS).desc(), "b")
     lists = found.withColumn("_place", F.row_number().over(best)).filter(F.col("_place") <= k + 1)
     lists = lists.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("_place", "b", "sim"))).alias("list"))
