@@ -20,8 +20,9 @@ from mlspark.functions.columns import inverse_minmax
 from mlspark.operators.features import fit_minmax, minmax
 from mlspark.operators.metrics import best_by, regression_metrics
 from mlspark.operators.windows import chronological_split, supervised_windows
+from mlspark.plans.arima import Shape, fit
 from mlspark.plans.ordered import null_safe_join
-from mlspark.session import written
+from mlspark.session import ship, written
 
 # fixed value: 5 % critical value of the Dickey-Fuller test with a constant, large sample
 CRITICAL = -2.86
@@ -85,67 +86,34 @@ def augmented_unit_root_test(df: DataFrame, series: str, ts: str, value: str, la
 # ---- rolling forecasts -----------------------------------------------------------------------------
 
 
-def _expanding(x: np.ndarray, y: np.ndarray, first: int) -> np.ndarray:
-    """Row t holds the least-squares coefficients from rows ``first`` .. t-1: running sums of the normal
-    equations, solved for all t at once."""
-    k = x.shape[1]
-    usable = (np.arange(len(x)) >= first)[:, None]
-    xs, ys = np.where(usable, x, 0.0), np.where(usable[:, 0], y, 0.0)
-    gram = np.cumsum(xs[:, :, None] * xs[:, None, :], axis=0)
-    cross = np.cumsum(xs * ys[:, None], axis=0)
-    gram = np.concatenate([np.zeros((1, k, k)), gram[:-1]])
-    cross = np.concatenate([np.zeros((1, k)), cross[:-1]])
-    ridge = 1e-8 * (np.trace(gram, axis1=1, axis2=2) + 1.0)
-    return np.linalg.solve(gram + ridge[:, None, None] * np.eye(k), cross[:, :, None])[:, :, 0]
-
-
-def _shifted(values: np.ndarray, lags: Sequence[int], constant: bool) -> np.ndarray:
-    cols = [np.concatenate([np.zeros(min(j, len(values))), values[: max(0, len(values) - j)]]) for j in lags]
-    if constant or not cols:
-        cols.append(np.ones(len(values)))
-    return np.column_stack(cols)
-
-
 def _products(short: int, seasonal: int, period: int) -> list[int]:
     """Lags of the product of a short and a seasonal polynomial, cross terms included."""
     return sorted({i + period * j for i in range(short + 1) for j in range(seasonal + 1)} - {0})
 
 
-def _one_step(y: np.ndarray, order: tuple[int, int, int], seasonal: tuple[int, int, int, int], start: int):
-    """One-step forecasts for positions >= start, each from all earlier values, and the last fit's AIC, BIC.
+def _enough(shape: Shape, start: int) -> bool:
+    """Whether the first ``start`` values hold every lag of the model and more values than parameters."""
+    (p, _, q), (sp, _, sq, s) = shape.order, shape.seasonal
+    ar, ma = _products(p, sp, s), _products(q, sq, s)
+    lost = len(shape.difference()) - 1
+    return start >= lost + max([*ar, *ma, 1]) + len(ar) + len(ma) + int(shape.mean) + 1
+
 
-    Two steps: an expanding long autoregression gives one-step errors; then the differenced series is
-    regressed on its lags and on lagged errors, at every lag of the multiplied polynomials.  None when
-    the values before ``start`` are fewer than the model needs; no lag is ever left out.
+def _one_step(y: np.ndarray, shape: Shape, cuts: Sequence[int]) -> list[tuple[float, float, float]]:
+    """(forecast, AIC, BIC) for each cut: the model fitted by maximum likelihood to all values before it.
+
+    A fit begins where the one before ended.
     """
-    (p, d, q), (sp, sd, sq, s) = order, seasonal
-    w, lost = y.astype(float), 0
-    for step, times in ((1, d), (s, sd)):
-        for _ in range(times):
-            w = np.concatenate([np.zeros(min(step, len(w))), w[step:] - w[:-step]]) if len(w) > step else np.zeros_like(w)
-            lost += step
-    constant = d + sd == 0
-    ar, ma = _products(p, sp, s), _products(q, sq, s)
-    long = sorted({*range(1, p + q + 2), *ar, *ma})
-    first = lost + max(long)
-    begin = first + len(long) + constant if ma else lost + max([*ar, 1])
-    if start < begin + len(ar) + len(ma) + constant + 1:
-        return None
-    base = _shifted(w, long, constant)
-    beta = _expanding(base, w, first)
-    errors = w - (base * beta).sum(1)
-    errors[: first + base.shape[1]] = 0.0
-    x = np.column_stack([m for m in (_shifted(w, ar, constant), _shifted(errors, ma, False) if ma else None) if m is not None])
-    coef = _expanding(x, w, begin)
-    forecast = (x * coef).sum(1) + (y - w)
-    used = np.arange(len(y)) >= begin
-    rest = (w - x @ coef[-1])[used]
-    n, k = max(1, int(used.sum())), x.shape[1] + 1
-    sigma2 = max(float(rest @ rest) / n, 1e-300)
-    return forecast, n * np.log(sigma2) + 2 * k, n * np.log(sigma2) + k * np.log(n)
+    out, x = [], None
+    for cut in cuts:
+        x, best, n, forecast = fit(y[:cut], shape, x)
+        k = shape.parameters + 1
+        out.append((forecast, 2 * k - 2 * best, k * np.log(n) - 2 * best))
+    return out
 
 
 NO_SEASON = (0, 0, 0, 1)
+CUTS = 8  # steps that one task fits one after the other
 
 
 def rolling_forecast(
@@ -159,27 +127,36 @@ def rolling_forecast(
     model: str = "ARIMA",
 ) -> DataFrame:
     """(series, ts, actual, forecast, aic, bic, model, reason) on the last part of each series; every step
-    is refitted on all earlier values and looks one step ahead.
+    is fitted by maximum likelihood on all earlier values and looks one step ahead.
 
-    A series whose first part is too short for the model keeps its rows, without forecasts and with the
-    reason; one too short to be split shows all its rows so.
+    ``CUTS`` steps of a series are one task's work, which holds the series up to them; AIC and BIC are those of
+    a row's own fit.  A series whose first part is too short for the model keeps its rows, without forecasts
+    and with the reason; one too short to be split shows all its rows so.
     """
     kinds = {c: df.schema[c].dataType.simpleString() for c in (series, ts)}
+    shape = Shape(tuple(order), tuple(seasonal))
+    ship(df.sparkSession)
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
+        first = int(rows["_first"].iloc[0])
         rows = rows.sort_values(ts)
         y = rows[value].to_numpy(float)
-        start = int(len(y) * (1 - test_ratio))
-        start = start if start < len(y) else 0
-        fitted = _one_step(y, order, seasonal, start)
-        out = rows.iloc[start:][[series, ts]].copy()
-        if fitted is None:
-            return out.assign(actual=y[start:], forecast=np.nan, aic=np.nan, bic=np.nan, model=model, reason=TOO_SHORT)
-        forecast, aic, bic = fitted
-        return out.assign(actual=y[start:], forecast=forecast[start:], aic=aic, bic=bic, model=model, reason=None)
+        start = int(rows["_start"].iloc[0])
+        cuts = range(first, min(first + CUTS, len(y)))
+        out = rows.iloc[list(cuts)][[series, ts]].copy().assign(actual=y[list(cuts)])
+        if not _enough(shape, start):
+            return out.assign(forecast=np.nan, aic=np.nan, bic=np.nan, model=model, reason=TOO_SHORT)
+        forecast, aic, bic = zip(*_one_step(y, shape, cuts), strict=True)
+        return out.assign(forecast=forecast, aic=aic, bic=bic, model=model, reason=None)
 
     columns = f"{series} {kinds[series]}, {ts} {kinds[ts]}, actual double, forecast double, aic double, bic double, model string, reason string"
-    fitted = df.select(series, ts, value).groupBy(series).applyInPandas(run, columns)
+    rows = df.select(series, ts, value)
+    sizes = rows.groupBy(series).agg(F.count(F.lit(1)).alias("_n"))
+    split = F.floor(F.col("_n") * F.lit(1 - test_ratio))
+    sizes = sizes.withColumn("_start", F.when(split < F.col("_n"), split).otherwise(0).cast("int"))
+    steps = F.sequence("_start", (F.col("_n") - 1).cast("int"), F.lit(CUTS))
+    rows = null_safe_join(rows, sizes, [series]).select(series, ts, value, "_start", F.explode(steps).alias("_first"))
+    fitted = rows.groupBy(series, "_first").applyInPandas(run, columns)
     return fitted.withColumns({c: F.nanvl(c, F.lit(None).cast("double")) for c in ("forecast", "aic", "bic")})
 
 
