@@ -35,6 +35,7 @@ BLOCK = 512
 LEAF = 64
 FACTOR = 1.0
 SLACK = 1e-9  # rounding of distances near zero
+TIE = 1e-7  # rounding of distances of equal directions: the root of that of their dot product
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -100,7 +101,7 @@ class Tree:
         self.visit(inner, queries, who[inside], best, factor)
         self.visit(outer, queries, who[~inside], best, factor)
         gap = np.abs(away - radius)
-        still = gap <= factor * best.worst(who) + SLACK
+        still = gap <= factor * best.worst(who) + (TIE if factor == 1 else SLACK)
         self.visit(outer, queries, who[inside & still], best, factor)
         self.visit(inner, queries, who[~inside & still], best, factor)
 
@@ -181,15 +182,33 @@ def nearest(vectors: DataFrame, every: int = EVERY, k: int = NEAREST, factor: fl
     return found.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
+def within_ties(tree: Tree, queries: np.ndarray, size: int, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
+    """(query, row), by query: the k nearest rows and all others that are as near as the last of them but for rounding.
+
+    Vectors of one direction and different lengths tie; a query whose ties fill its list is searched again with a
+    list four times as long, up to all rows of the shard.
+    """
+    left, out, many = np.arange(len(queries)), [], min(size, k + 3)
+    while len(left):
+        away, rows = tree.search(queries[left], many, factor)
+        limit = away[:, min(k, many) - 1] + TIE
+        full = (away[:, -1] <= limit) & (many < size)
+        who, at = np.nonzero((rows >= 0) & (away <= limit[:, None]) & ~full[:, None])
+        out.append((left[who], rows[who, at]))
+        left, many = left[full], min(size, 4 * many)
+    if not out:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    who, row = (np.concatenate(x) for x in zip(*out, strict=True))
+    order = np.argsort(who, kind="stable")
+    return who[order], row[order]
+
+
 def search_cell(shard: pa.StructArray, block: pa.StructArray, k: int, factor: float) -> pa.RecordBatch:
     """The k nearest ids of a shard for each query of a block, by exact score and then id."""
     base, ids = matrix(shard.field("vector")), shard.field("ids").to_pylist()
     query, query_ids = matrix(block.field("vector")), block.field("vec_id").to_numpy()
     tree = Tree(unit(base))
-    # the query's own vector takes a place, and rounding may swap neighbours: a few more than k
-    _, rows = tree.search(unit(query), min(len(base), k + 4), factor)
-    who, at = np.nonzero(rows >= 0)
-    row = rows[who, at]
+    who, row = within_ties(tree, unit(query), len(base), k + 1, factor)
     score = cosine(query[who], base[row])
     out = []
     for q in range(len(query)):

@@ -49,7 +49,7 @@ def canonical_url(url: Column) -> Column:
 
 def fields(block: Column) -> Column:
     """Header lines after the first one as (lower-case name, value), in order; lines without a colon go."""
-    lines = F.filter(F.slice(F.split(block, CRLF), 2, 100_000), lambda line: F.locate(":", line) > 1)
+    lines = F.filter(F.split(block, CRLF), lambda line, i: (i > 0) & (F.locate(":", line) > 1))
     return F.transform(
         lines,
         lambda line: F.struct(

@@ -56,6 +56,16 @@ def test_copies_ties_and_odd_rows(spark):
     assert [i for i, _ in got[200]] == [7, 201, 202, 203, 204]
 
 
+def test_scaled_copies_tie_and_the_smaller_ids_win(spark):
+    rng = np.random.default_rng(8)
+    for trial in range(3):
+        one = rng.normal(size=16)
+        rows = [(i, list(one * 2.0 ** int(s))) for i, s in enumerate(rng.permutation(30))]
+        rows += [(100 + i, list(v)) for i, v in enumerate(rng.normal(size=(40, 16)))]
+        got = found(V.nearest(table(spark, rows), 10, 5))
+        assert [i for i, _ in got[0]] == [1, 2, 3, 4, 5] and [i for i, _ in got[20]] == [0, 1, 2, 3, 4]
+
+
 def test_fewer_candidates_than_asked_for(spark):
     rows = vectors(3, 2)
     assert {q: len(x) for q, x in found(V.nearest(table(spark, rows), 1, 5)).items()} == {0: 2, 1: 2, 2: 2}

@@ -4,6 +4,8 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from mlspark.llm import warc
 
 END = "\r\n"
@@ -88,3 +90,9 @@ def test_repeated_rows_and_empty_tables(spark):
     pages = spark.createDataFrame([(None, "u", "h"), (1, None, "h"), (2, "http://a.com", None)], "page_id long, url string, html string")
     out = {r["record_id"]: r["outcome"] for r in warc.resolve(warc.page_records(pages)).collect()}
     assert out == {None: "malformed", 2: "malformed", 3: "malformed", 4: "full", 5: "resolved"}
+
+
+def test_no_header_line_is_dropped(spark):
+    block = "HTTP/1.1 200 OK\r\n" + "\r\n".join(f"X-{i}: {i}" for i in range(150_000))
+    row = spark.createDataFrame([(block,)], "block string").select(warc.fields(F.col("block")).alias("f")).first()["f"]
+    assert len(row) == 150_000 and tuple(row[-1]) == ("x-149999", "149999")
