@@ -46,7 +46,8 @@ ASCII = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 def occurrences(docs: DataFrame, shortest: int = SHORTEST) -> DataFrame:
     """(doc_id, word) for each maximal run of at least ``shortest`` letters, A-Z in lower case."""
-    runs = F.regexp_extract_all(F.col("text"), F.lit(f"[{LETTERS}]{{{shortest},}}+"), F.lit(0))
+    # the look-behind changes no match; it saves tries inside shorter runs
+    runs = F.regexp_extract_all(F.col("text"), F.lit(f"(?<![{LETTERS}])[{LETTERS}]{{{shortest},}}+"), F.lit(0))
     return docs.select("doc_id", F.explode(runs).alias("word")).withColumn("word", F.translate("word", *ASCII))
 
 
@@ -92,24 +93,27 @@ def prefix_marks(first: int):
 
 
 def paths(words: DataFrame, shortest: int) -> DataFrame:
-    """(side, key, cuts): every word and its mirror, and the lengths of its prefixes that are nodes, in order."""
+    """(side, key, cuts, more): every word and its mirror, the lengths of its prefixes that are nodes, in order, and
+    whether a longer word begins with it."""
     forward = words.select(F.lit(0).alias("side"), F.col("word").alias("key"))
     keys = forward.unionByName(words.select(F.lit(1).alias("side"), F.reverse("word").alias("key")))
     keys = keys.withColumn("id", F.xxhash64("side", "key"))
     near_root = max(shortest // 2, 1) + 1
     marks = arrow_map(keys, prefix_marks(near_root + 1), "id long, pos int, h long, after int")
     kinds = marks.groupBy("h").agg(F.min("after").alias("_low"), F.max("after").alias("_high"))
-    nodes = kinds.filter("_low < 0 OR _low <> _high").select("h")
-    cuts = marks.join(nodes, "h", "left_semi").groupBy("id").agg(F.collect_set("pos").alias("_cuts"))
+    nodes = kinds.filter("_low < 0 OR _low <> _high").select("h", (F.col("_high") >= 0).alias("_more"))
+    cuts = marks.join(nodes, "h").groupBy("id").agg(F.collect_set("pos").alias("_cuts"), F.max_by("_more", "pos").alias("_more"))
     size = F.length("key")
     upper = F.sequence(F.least(F.lit(near_root - 1), size), F.least(F.lit(near_root), size))
     every = F.array_sort(F.array_union(F.array_union(upper, F.coalesce("_cuts", F.array().cast("array<int>"))), F.array(size)))
-    return keys.join(cuts, "id", "left").select("side", "key", F.filter(every, lambda c: c <= size).alias("cuts"))
+    more = F.coalesce("_more", F.lit(True)).alias("more")
+    return keys.join(cuts, "id", "left").select("side", "key", F.filter(every, lambda c: c <= size).alias("cuts"), more)
 
 
 def edges(path: DataFrame) -> DataFrame:
     """(side, node, label, ends, heads): the edges, ``ends`` where the child is a word, and the next two letters of the
-    words below it (one where a word ends).  A word's node also has an empty label."""
+    words below it (one where a word ends).  A word that longer ones begin
+    with also has an empty label at its node."""
     cuts = F.col("cuts")
 
     def step(i: Column) -> Column:
@@ -119,7 +123,8 @@ def edges(path: DataFrame) -> DataFrame:
 
     steps = F.when(F.size(cuts) > 1, F.transform(F.sequence(F.lit(0), F.size(cuts) - 2), step))
     own = F.array(F.struct(F.col("key").alias("node"), F.lit("").alias("label"), F.lit("").alias("head")))
-    rows = path.select("side", F.inline(F.concat(F.coalesce(steps, F.array().cast("array<struct<node:string,label:string,head:string>>")), own)))
+    none = F.array().cast("array<struct<node:string,label:string,head:string>>")
+    rows = path.select("side", F.inline(F.concat(F.coalesce(steps, none), F.when(F.col("more"), own).otherwise(none))))
     heads = F.concat(F.lit(" "), F.array_join(F.sort_array(F.collect_set("head")), " "), F.lit(" ")).alias("heads")
     return rows.groupBy("side", "node", "label").agg(F.max(F.col("head") == "").alias("ends"), heads)
 
@@ -179,7 +184,9 @@ def near(words: DataFrame, shortest: int = SHORTEST) -> DataFrame:
     edge = written(edges(path), "trie-edges")
     size = F.length("key")
     middle = F.when(F.col("side") == 0, F.floor(size / 2)).otherwise(size - F.floor(size / 2)).cast("int")
-    own = path.select("side", "key", F.explode(F.filter("cuts", lambda c: c >= middle)).alias("pos"))
+    # at a word's own end other words go on only if they begin with it
+    kept = F.filter("cuts", lambda c: (c >= middle) & (F.col("more") | (c < size)))
+    own = path.select("side", "key", F.explode(kept).alias("pos"))
     states = leave(own.withColumn("node", F.expr("left(key, pos)")), edge, max(shortest // 2, 1) + 1)
     found = None
     while True:
