@@ -14,8 +14,6 @@ from mlspark.functions.columns import to_numeric
 from mlspark.plans.ordered import row_index
 from mlspark.session import written
 
-MAX_CATEGORIES = 1000
-
 
 def to_numeric_coerce(df: DataFrame, cols: Sequence[str], kind: str = "double") -> DataFrame:
     return df.withColumns({c: to_numeric(c, kind) for c in cols})
@@ -29,20 +27,13 @@ def drop_columns(df: DataFrame, *cols: str) -> DataFrame:
     return df.drop(*cols)
 
 
-def categories(df: DataFrame, cols: Sequence[str], limit: int = MAX_CATEGORIES) -> dict[str, list]:
-    """Sorted distinct values per column.  They become columns or literals, so their number is checked."""
-    out = {}
-    for c in cols:
-        rows = df.select(c).filter(F.col(c).isNotNull()).distinct().limit(limit + 1).collect()
-        if len(rows) > limit:
-            raise ValueError(f"{c} has more than {limit} categories: index it instead of widening the table")
-        out[c] = sorted(r[0] for r in rows)
-    return out
+def categories(df: DataFrame, cols: Sequence[str]) -> dict[str, list]:
+    """Sorted distinct values per column, for forms in which each becomes a column or a literal.
 
-
-def is_wide(df: DataFrame, col: str, limit: int = MAX_CATEGORIES) -> bool:
-    """Whether a column has more categories than may become columns or literals."""
-    return df.select(col).filter(F.col(col).isNotNull()).distinct().limit(limit + 1).count() > limit
+    The list reaches the driver, as the plan itself has an entry for each value; for columns of many values the
+    callers have a sparse form, which keeps the values in a table.
+    """
+    return {c: sorted(r[0] for r in df.select(c).filter(F.col(c).isNotNull()).distinct().collect()) for c in cols}
 
 
 def category_index(df: DataFrame, col: str) -> DataFrame:
@@ -66,18 +57,24 @@ def one_hot_sparse(df: DataFrame, col: str, index: DataFrame, out: str, drop_fir
 
 
 def one_hot(
-    df: DataFrame, cols: Sequence[str], drop_first: bool = False, fitted: Mapping[str, Sequence] | None = None
+    df: DataFrame,
+    cols: Sequence[str],
+    drop_first: bool = False,
+    fitted: Mapping[str, Sequence] | None = None,
+    sparse: bool = False,
 ) -> DataFrame:
     """0/1 columns ``col_value`` in sorted category order, replacing the column; missing gives all 0.
 
-    A column of more than ``MAX_CATEGORIES`` values becomes one sparse vector ``col_onehot`` in that order.
+    ``sparse`` gives one sparse vector ``col_onehot`` per column in that order instead, whatever the number of
+    categories: the form is the caller's choice and does not change with the data.
     """
-    wide = [] if fitted else [c for c in cols if is_wide(df, c)]
-    known = fitted or categories(df, [c for c in cols if c not in wide])
-    for c in wide:
-        df = one_hot_sparse(df, c, category_index(df, c), f"{c}_onehot", drop_first)
+    if sparse:
+        for c in cols:
+            df = one_hot_sparse(df, c, category_index(df, c), f"{c}_onehot", drop_first)
+        return df.drop(*cols)
+    known = fitted or categories(df, cols)
     out = [F.col(c) for c in df.columns if c not in cols]
-    for c in [c for c in cols if c not in wide]:
+    for c in cols:
         for value in known[c][1 if drop_first else 0:]:
             out.append(F.coalesce((F.col(c) == value).cast("int"), F.lit(0)).alias(f"{c}_{value}"))
     return df.select(*out)

@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mlspark.operators.clean import categories, category_index, is_wide, one_hot_sparse
+from mlspark.operators.clean import categories, category_index, one_hot_sparse
 
 
 def fit_standard(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]]:
@@ -60,9 +60,9 @@ def fit_one_hot(df: DataFrame, cols: Sequence[str]) -> dict[str, list]:
     return categories(df, cols)
 
 
-def one_hot_known(df: DataFrame, col: str, fit_on: DataFrame, out: str) -> DataFrame:
-    """Adds the indicators of the categories of ``fit_on``: an array, or a sparse vector where they are too many for that."""
-    if is_wide(fit_on, col):
+def one_hot_known(df: DataFrame, col: str, fit_on: DataFrame, out: str, sparse: bool = False) -> DataFrame:
+    """Adds the indicators of the categories of ``fit_on``: an array, or with ``sparse`` a sparse vector."""
+    if sparse:
         return one_hot_sparse(df, col, category_index(fit_on, col), out)
     return df.withColumn(out, one_hot_ignore_unknown(col, fit_one_hot(fit_on, [col])[col]))
 

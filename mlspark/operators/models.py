@@ -28,7 +28,7 @@ from pyspark.ml.regression import (
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mlspark.operators.clean import categories, is_wide, most_frequent, require_columns
+from mlspark.operators.clean import categories, most_frequent, require_columns
 from mlspark.operators.metrics import accuracy, classification_report, regression_metrics
 from mlspark.operators.sampling import kfold, split_random
 from mlspark.session import written
@@ -48,6 +48,8 @@ class ColumnPipeline:
     Numbers: mean for missing, then z-score with population deviation.  Nominal: most frequent for
     missing, then one indicator per category, unseen ones all 0.  Ordinal: most frequent for missing,
     then the place in the given order, -1 for unseen.  ``passthrough`` columns are taken as they are.
+    ``sparse`` keeps the nominal categories in an index saved with the model, for columns of many values;
+    otherwise each category is an expression.  Both give the same vector.
     """
 
     numeric: Sequence[str] = ()
@@ -55,6 +57,7 @@ class ColumnPipeline:
     ordinal: Mapping[str, Sequence[str]] = field(default_factory=dict)
     passthrough: Sequence[str] = ()
     output: str = "features"
+    sparse: bool = False
 
     def stages(self, df: DataFrame) -> list[Transformer]:
         """Learned SQL projection and vector assembly; what reaches the driver is one row of statistics
@@ -71,7 +74,7 @@ class ColumnPipeline:
                 mean, std = row[f"m_{c}"], row[f"s_{c}"] or 1.0
                 exprs.append((f"num_{c}", f"(coalesce(CAST(`{c}` AS DOUBLE), {mean!r}D) - {mean!r}D) / {std!r}D"))
         fill = most_frequent(df, [*self.nominal, *self.ordinal])
-        wide = [c for c in self.nominal if is_wide(df, c)]
+        wide = list(self.nominal) if self.sparse else []
         known = categories(df, [c for c in self.nominal if c not in wide])
         for c in wide:
             exprs.append((f"str_{c}", f"CAST(coalesce(`{c}`, {_quoted(fill[c])}) AS STRING)"))
@@ -87,7 +90,7 @@ class ColumnPipeline:
         names = [f"nom_{name[4:]}" if name[4:] in wide and name.startswith("str_") else name for name, _ in exprs]
         project = [SQLTransformer(statement=statement)] if exprs else []
         if wide:
-            # too many for one expression each: an index that is saved with the model, and sparse vectors; unseen ones are all 0
+            # an index that is saved with the model, and sparse vectors; unseen ones are all 0
             texts, places, vectors = ([f"{kind}_{c}" for c in wide] for kind in ("str", "idx", "nom"))
             indexer = StringIndexer(inputCols=texts, outputCols=places, stringOrderType="alphabetAsc", handleInvalid="keep")
             index = indexer.fit(project[0].transform(df))

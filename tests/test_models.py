@@ -218,14 +218,31 @@ def test_a_column_of_5000_categories_is_encoded(spark):
     rows = [(i, f"v{i % 5000:04d}") for i in range(6000)] + [(6000, None)]
     df = spark.createDataFrame(rows, "id long, c string")
     for first in (0, 1):
-        out = {r["id"]: r["c_onehot"] for r in clean.one_hot(df, ["c"], drop_first=bool(first)).collect()}
+        out = {r["id"]: r["c_onehot"] for r in clean.one_hot(df, ["c"], drop_first=bool(first), sparse=True).collect()}
         assert len(out) == 6001 and all(v.size == 5000 - first for v in out.values())
         assert all(list(out[i].indices) == [i % 5000 - first] for i in range(6000) if i % 5000 >= first)
         assert out[6000].numNonzeros() == 0 and (not first or out[0].numNonzeros() == 0)
     seen = df.filter("id >= 1000 AND id < 5000")
-    known = {r["id"]: r["x"] for r in features.one_hot_known(df, "c", seen, "x").collect()}
+    known = {r["id"]: r["x"] for r in features.one_hot_known(df, "c", seen, "x", sparse=True).collect()}
     assert known[999].numNonzeros() == known[6000].numNonzeros() == 0 and list(known[1000].indices) == [0] and known[0].size == 4000
-    model = models.ColumnPipeline(nominal=["c"]).fit(seen)
+    model = models.ColumnPipeline(nominal=["c"], sparse=True).fit(seen)
     wide = {r["id"]: r["features"] for r in model.transform(df).collect()}
     assert wide[4321].size == 4000 and list(wide[4321].indices) == [3321] and wide[999].numNonzeros() == 0
     assert list(wide[6000].indices) == [0]
+
+
+def test_the_form_of_an_encoding_is_a_parameter(spark):
+    """1,001 categories in either form; two categories have the same types."""
+    from mlspark.operators import clean, features
+
+    for n in (2, 1001):
+        df = spark.createDataFrame([(i, f"v{i:04d}") for i in range(n)], "id long, c string")
+        dense, wide = clean.one_hot(df, ["c"]), clean.one_hot(df, ["c"], sparse=True)
+        assert len(dense.columns) == n + 1 and wide.columns == ["id", "c_onehot"]
+        assert {r["id"]: list(r["c_onehot"].indices) for r in wide.collect()} == {i: [i] for i in range(n)}
+        last = dense.filter(F.col("id") == n - 1).first()
+        assert last[f"c_v{n - 1:04d}"] == 1 and sum(last[1:]) == 1
+        for sparse, kind in ((False, "array<double>"), (True, "vector")):
+            assert dict(features.one_hot_known(df, "c", df, "x", sparse).dtypes)["x"] == kind
+            out = models.ColumnPipeline(nominal=["c"], sparse=sparse).fit(df).transform(df).collect()
+            assert all(r["features"].size == n and r["features"].toArray().argmax() == r["id"] for r in out)
