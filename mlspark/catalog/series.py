@@ -83,6 +83,11 @@ def x5(spark, sf):
     return S.structural_decompose(monthly_sales(spark, sf), *KEYS)
 
 
+@query("X5_structural_variances")
+def x5_variances(spark, sf):
+    return S.structural_variances(monthly_sales(spark, sf), *KEYS)
+
+
 @query(
     "X5_decompose_baseline",
     "WITH " + MONTHLY.replace("CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE)", "CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / 997")

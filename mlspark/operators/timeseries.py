@@ -22,6 +22,7 @@ from mlspark.operators.metrics import best_by, regression_metrics
 from mlspark.operators.windows import chronological_split, supervised_windows
 from mlspark.plans.arima import Shape, fit
 from mlspark.plans.ordered import null_safe_join
+from mlspark.plans.structural import NOISES, Structure
 from mlspark.session import ship, written
 
 # fixed value: 5 % critical value of the Dickey-Fuller test with a constant, large sample
@@ -202,79 +203,51 @@ def decompose_baseline(df: DataFrame, series: str, ts: str, value: str, period:
     return joined.withColumn("residual", F.col(value) - F.col("trend") - F.col("seasonal"))
 
 
-def _system(period: int):
-    """Transition of level, slope and period-1 seasonal states; level, slope and season take noise."""
-    m = 2 + period - 1
-    t = np.zeros((m, m))
-    t[0, 0] = t[0, 1] = t[1, 1] = 1.0
-    t[2, 2:] = -1.0
-    for i in range(3, m):
-        t[i, i - 1] = 1.0
-    z = np.zeros(m)
-    z[0] = z[2] = 1.0
-    return t, z
-
-
-def _filter(y: np.ndarray, t: np.ndarray, z: np.ndarray, noise: np.ndarray, h: float):
-    m, n = len(z), len(y)
-    a, p = np.zeros(m), np.eye(m) * 1e7 * max(1.0, float(np.var(y)))
-    q = np.zeros((m, m))
-    q[0, 0], q[1, 1], q[2, 2] = noise
-    means, covs, ahead, spread, loglik = np.zeros((n, m)), np.zeros((n, m, m)), np.zeros(n), np.zeros(n), 0.0
-    for i in range(n):
-        means[i], covs[i] = a, p
-        ahead[i], spread[i] = z @ a, z @ p @ z + h
-        v = y[i] - ahead[i]
-        if i > m:
-            loglik += -0.5 * (np.log(2 * np.pi * spread[i]) + v * v / spread[i])
-        gain = p @ z / spread[i]
-        a = t @ (a + gain * v)
-        p = t @ (p - np.outer(gain, z @ p)) @ t.T + q
-    return loglik, means, covs, ahead, spread
-
-
-def _smooth(y, t, z, h, means, covs, ahead, spread):
-    """Fixed-interval smoother: state means and variances given all values."""
-    n, m = means.shape
-    r, big = np.zeros(m), np.zeros((m, m))
-    out, var = np.zeros((n, m)), np.zeros((n, m))
-    for i in range(n - 1, -1, -1):
-        p = covs[i]
-        left = t - np.outer(t @ p @ z / spread[i], z)
-        r = z * (y[i] - ahead[i]) / spread[i] + left.T @ r
-        big = np.outer(z, z) / spread[i] + left.T @ big @ left
-        out[i] = means[i] + p @ r
-        var[i] = np.maximum(np.diag(p - p @ big @ p), 0.0)
-    return out, var
+def structural_variances(df: DataFrame, series: str, ts: str, value: str, period: int = 12) -> DataFrame:
+    """Noise variances of level, slope, seasonal and irregular part by maximum likelihood, one row per series.
+
+    The likelihood is that of the values after the first period and one.  A series shorter than a period
+    and three values keeps its row, with missing figures and the reason.
+    """
+    kind = df.schema[series].dataType.simpleString()
+    columns = [series, *[f"{p}_variance" for p in NOISES], "log_likelihood", "n", "reason"]
+    model = Structure(period)
+    ship(df.sparkSession)
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        y = rows.sort_values(ts)[value].to_numpy(float)
+        key = rows[series].iloc[0]
+        if len(y) < period + 3:
+            return pd.DataFrame([(key, *[None] * 5, len(y), TOO_SHORT)], columns=columns)
+        variances, best = model.fit(y)
+        return pd.DataFrame([(key, *variances, best, len(y), None)], columns=columns)
+
+    schema = f"{series} {kind}, " + ", ".join(f"{c} double" for c in columns[1:6]) + ", n long, reason string"
+    return df.select(series, ts, value).groupBy(series).applyInPandas(run, schema)
 
 
 def structural_decompose(df: DataFrame, series: str, ts: str, value: str, period: int = 12) -> DataFrame:
     """Level, slope and seasonal parts with 95 % bands, and the one-step fit.
 
-    The four noise variances come from a coarse grid on the likelihood; a fixed-interval smoother gives
+    The four noise variances are those of greatest likelihood; a fixed-interval smoother gives
     the parts.  A series shorter than a period and three values keeps its rows, with missing parts.
     """
     kinds = {c: df.schema[c].dataType.simpleString() for c in (series, ts)}
-    parts = ["level", "slope", "seasonal"]
+    parts = NOISES[:3]
     columns = [series, ts, value, "fitted", *[f"{p}{s}" for p in parts for s in ("", "_lo", "_hi")]]
+    model = Structure(period)
+    ship(df.sparkSession)
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(ts)
         y = rows[value].to_numpy(float)
         if len(y) < period + 3:
             return rows[[series, ts]].assign(**{value: y}).reindex(columns=columns)
-        scale = float(np.std(y)) or 1.0
-        u = (y - y.mean()) / scale
-        t, z = _system(period)
-        grid = [(a, b, c, h) for a in (1e-3, 0.1) for b in (1e-6, 1e-3) for c in (1e-6, 1e-2) for h in (0.05, 0.5)]
-        best = max(grid, key=lambda g: _filter(u, t, z, np.array(g[:3]), g[3])[0])
-        _, means, covs, ahead, spread = _filter(u, t, z, np.array(best[:3]), best[3])
-        state, var = _smooth(u, t, z, best[3], means, covs, ahead, spread)
-        out = pd.DataFrame({series: rows[series].to_numpy(), ts: rows[ts].to_numpy(), value: y, "fitted": ahead * scale + y.mean()})
+        fitted, state, var = model.parts(y, model.fit(y)[0])
+        out = pd.DataFrame({series: rows[series].to_numpy(), ts: rows[ts].to_numpy(), value: y, "fitted": fitted})
         for at, part in enumerate(parts):
-            middle = state[:, at] * scale + (y.mean() if part == "level" else 0.0)
-            width = 1.96 * np.sqrt(var[:, at]) * scale
-            out[part], out[f"{part}_lo"], out[f"{part}_hi"] = middle, middle - width, middle + width
+            width = 1.96 * np.sqrt(var[:, at])
+            out[part], out[f"{part}_lo"], out[f"{part}_hi"] = state[:, at], state[:, at] - width, state[:, at] + width
         return out[columns]
 
     schema = f"{series} {kinds[series]}, {ts} {kinds[ts]}, " + ", ".join(f"{c} double" for c in columns[2:])

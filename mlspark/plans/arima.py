@@ -107,13 +107,14 @@ def log_likelihood(w: np.ndarray, ar: np.ndarray, ma: np.ndarray) -> float:
     return -0.5 * (n * np.log(2 * np.pi * variance) + float(np.log(sizes).sum()) + n)
 
 
-def maximise(value, x: np.ndarray) -> tuple[np.ndarray, float]:
-    """Quasi-Newton ascent with numeric gradients and step halving."""
+def maximise(value, x: np.ndarray, slope=None) -> tuple[np.ndarray, float]:
+    """Quasi-Newton ascent with step halving; without ``slope`` the gradient is numeric."""
 
-    def slope(at: np.ndarray) -> np.ndarray:
+    def numeric(at: np.ndarray) -> np.ndarray:
         h = 1e-5
         return np.array([(value(at + h * e) - value(at - h * e)) / (2 * h) for e in np.eye(len(at))])
 
+    slope = slope or numeric
     best, now = value(x), x
     if not len(x):
         return x, best
