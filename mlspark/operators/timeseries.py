@@ -230,7 +230,7 @@ def structural_decompose(df: DataFrame, series: str, ts: str, value: str, period
     """Level, slope and seasonal parts with 95 % bands, and the one-step fit.
 
     The four noise variances are those of greatest likelihood; a fixed-interval smoother gives
-    the parts.  A series shorter than a period and three values keeps its rows, with missing parts.
+    the parts.  The first period and one values have no fit, as nothing is assumed of the start.  A series shorter than a period and three values keeps its rows, with missing parts.
     """
     kinds = {c: df.schema[c].dataType.simpleString() for c in (series, ts)}
     parts = NOISES[:3]
@@ -251,7 +251,8 @@ def structural_decompose(df: DataFrame, series: str, ts: str, value: str, period
         return out[columns]
 
     schema = f"{series} {kinds[series]}, {ts} {kinds[ts]}, " + ", ".join(f"{c} double" for c in columns[2:])
-    return df.select(series, ts, value).groupBy(series).applyInPandas(run, schema)
+    out = df.select(series, ts, value).groupBy(series).applyInPandas(run, schema)
+    return out.withColumn("fitted", F.nanvl("fitted", F.lit(None).cast("double")))
 
 
 # ---- lag regression --------------------------------------------------------------------------------------

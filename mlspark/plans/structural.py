@@ -28,36 +28,41 @@ class Structure:
         t[np.arange(3, m), np.arange(2, m - 1)] = 1.0
         z = self.seen = np.zeros(m)
         z[0] = z[2] = 1.0
-        powers = [np.eye(m)]
-        for _ in range(m):
-            powers.append(t @ powers[-1])
-        # values 0 .. m - 1 are first @ state plus noises; solved for the state and carried on to time m
-        first = np.array([z @ powers[i] for i in range(m)])
-        self.carry = np.linalg.solve(first.T, powers[m].T).T
-        spreads = []
-        for k in range(3):
-            columns = []
-            for j in range(m):
-                felt = np.array([z @ powers[i - 1 - j][:, k] if i > j else 0.0 for i in range(m)])
-                columns.append(powers[m - 1 - j][:, k] - self.carry @ felt)
-            spreads.append(np.column_stack(columns))
-        self.spreads = [g @ g.T for g in (*spreads, self.carry)]
-
-    def likelihood(self, y: np.ndarray, variances: np.ndarray) -> tuple[float, np.ndarray]:
-        """Log likelihood of the values after the first ``size`` given those, and its slope in the variances."""
+        # the first m values are values @ state + felt @ noises, noises being m of each kind in turn; with them the
+        # state at any time is known but for the noises
+        reached, values, felt = np.eye(m), [], []
+        noises = np.zeros((m, 4 * m))
+        for i in range(m):
+            values.append(z @ reached)
+            felt.append(z @ noises)
+            felt[-1][3 * m + i] = 1.0
+            reached, noises = t @ reached, t @ noises
+            noises[range(3), [k * m + i for k in range(3)]] += 1.0
+        self.back = np.linalg.inv(np.array(values))
+        self.unknown = -self.back @ np.array(felt)  # of the first state
+        self.carry = reached @ self.back
+        self.left = noises + reached @ self.unknown  # of the state after the first m values
+        self.spreads = [g @ g.T for g in np.split(self.left, 4, axis=1)]
+
+    def ahead(self, y: np.ndarray, variances: np.ndarray):
+        """Filter over the values after the first ``size``: forecast, error's variance, gain, state, covariance."""
         t, z, m = self.step, self.seen, self.size
         q, h = np.diag([*variances[:3], *np.zeros(m - 3)]), variances[3]
         state = self.carry @ y[:m]
         cov = sum(v * g for v, g in zip(variances, self.spreads, strict=True))
-        total, passed = 0.0, []
         for value in y[m:]:
-            error, size = value - z @ state, z @ cov @ z + h
+            forecast, size = z @ state, z @ cov @ z + h
             gain = t @ (cov @ z) / size
-            total -= 0.5 * (np.log(2 * np.pi * size) + error * error / size)
-            passed.append((error, size, gain))
-            state = t @ state + gain * error
+            yield forecast, size, gain, state, cov
+            state = t @ state + gain * (value - forecast)
             cov = t @ cov @ t.T - np.outer(gain, gain) * size + q
             cov = (cov + cov.T) / 2
+
+    def likelihood(self, y: np.ndarray, variances: np.ndarray) -> tuple[float, np.ndarray]:
+        """Log likelihood of the values after the first ``size`` given those, and its slope in the variances."""
+        t, z, m = self.step, self.seen, self.size
+        passed = [(value - f, size, gain) for value, (f, size, gain, _, _) in zip(y[m:], self.ahead(y, variances))]
+        total = -0.5 * sum(np.log(2 * np.pi * size) + error * error / size for error, size, _ in passed)
         slope, r, big, both = np.zeros(4), np.zeros(m), np.zeros((m, m)), np.outer(z, z)
         for error, size, gain in reversed(passed):
             slope[:3] += 0.5 * (r[:3] ** 2 - np.diag(big)[:3])
@@ -88,27 +93,32 @@ class Structure:
         return np.exp(np.clip(x, LOW, HIGH)) * scale**2, best - (len(y) - self.size) * np.log(scale)
 
     def parts(self, y: np.ndarray, variances: np.ndarray):
-        """One-step fits, and mean and variance of every state given all values (fixed-interval smoother)."""
+        """One-step fits, missing for the first ``size`` values, and mean and variance of level, slope and season
+        given all values (fixed-interval smoother)."""
         centre, scale = float(y.mean()), float(np.std(y)) or 1.0
         u, v = (y - centre) / scale, variances / scale**2
         t, z, m, n = self.step, self.seen, self.size, len(y)
-        a, p, q = np.zeros(m), np.eye(m) * 1e7, np.diag([*v[:3], *np.zeros(m - 3)])
-        means, covs, ahead, spread = np.zeros((n, m)), np.zeros((n, m, m)), np.zeros(n), np.zeros(n)
-        for i in range(n):
-            means[i], covs[i] = a, p
-            ahead[i], spread[i] = z @ a, z @ p @ z + v[3]
-            gain = p @ z / spread[i]
-            a = t @ (a + gain * (u[i] - ahead[i]))
-            p = t @ (p - np.outer(gain, z @ p)) @ t.T + q
+        passed = list(self.ahead(u, v))
+        fitted = np.array([np.nan] * m + [f for f, *_ in passed])
         r, big = np.zeros(m), np.zeros((m, m))
-        out, var = np.zeros((n, m)), np.zeros((n, m))
-        for i in range(n - 1, -1, -1):
-            p = covs[i]
-            left = t - np.outer(t @ p @ z / spread[i], z)
-            r = z * (u[i] - ahead[i]) / spread[i] + left.T @ r
-            big = np.outer(z, z) / spread[i] + left.T @ big @ left
-            out[i] = means[i] + p @ r
-            var[i] = np.maximum(np.diag(p - p @ big @ p), 0.0)
+        out, var = np.zeros((n, 3)), np.zeros((n, 3))
+        for i in range(n - 1, m - 1, -1):
+            forecast, size, gain, state, cov = passed[i - m]
+            left = t - np.outer(gain, z)
+            r = z * (u[i] - forecast) / size + left.T @ r
+            big = np.outer(z, z) / size + left.T @ big @ left
+            out[i] = (state + cov @ r)[:3]
+            var[i] = np.diag(cov - cov @ big @ cov)[:3]
+        # the later values tell of the first noises by way of the state at time m
+        spread = np.repeat(v, m)
+        told = spread[:, None] * self.left.T
+        middle, rows, tells = self.back @ u[:m], self.unknown, told @ r
+        for i in range(m):
+            out[i] = (middle + rows @ tells)[:3]
+            near = rows[:3]
+            var[i] = (near**2) @ spread - np.sum((near @ told @ big) * (near @ told), axis=1)
+            middle, rows = t @ middle, t @ rows
+            rows[range(3), [k * m + i for k in range(3)]] += 1.0
         out = out * scale
         out[:, 0] += centre
-        return ahead * scale + centre, out, var * scale**2
+        return fitted * scale + centre, out, np.maximum(var, 0.0) * scale**2

@@ -48,6 +48,30 @@ def test_likelihood_and_slope(period):
         assert slope[k] == pytest.approx(numeric, rel=1e-4, abs=1e-4)
 
 
+@pytest.mark.parametrize("variances", [[0.3, 0.02, 0.1, 0.7], [1e-9, 1e-10, 0.1, 0.7], [0.2, 1e-10, 1e-9, 1e-9]])
+def test_parts_are_the_conditional_means(variances):
+    model, variances = Structure(4), np.array(variances)
+    n, m = 30, 5
+    y = simulate(np.random.default_rng(1), model, np.array([0.3, 0.02, 0.1, 0.7]), n)
+    # unknowns: the first state and all noises; the noises have a prior, the first state has none
+    powers = [np.linalg.matrix_power(model.step, i) for i in range(n)]
+    states = [np.column_stack([p, *[np.column_stack([powers[i - 1 - j][:, k] if i > j else np.zeros(m) for j in range(n)]) for k in range(3)]]) for i, p in enumerate(powers)]
+    x, free = np.array([powers[i].T @ model.seen for i in range(n)]), np.array([model.seen @ s for s in states])[:, m:]
+    prior = np.repeat(variances[:3], n)
+    inverse = np.linalg.inv((free * prior) @ free.T + np.eye(n) * variances[3])
+    cov = np.linalg.inv(x.T @ inverse @ x)
+    first = cov @ x.T @ inverse @ y
+    gain = prior[:, None] * (free.T @ inverse)
+    mean = np.concatenate([first, gain @ (y - x @ first)])
+    cross = -cov @ x.T @ gain.T
+    noises = np.diag(prior) - gain @ (free * prior) + gain @ x @ cov @ x.T @ gain.T
+    whole = np.block([[cov, cross], [cross.T, noises]])
+    _, out, var = model.parts(y, variances)
+    for i, s in enumerate(states):
+        assert out[i] == pytest.approx((s @ mean)[:3], abs=1e-5)
+        assert var[i] == pytest.approx(np.diag(s @ whole @ s.T)[:3], abs=1e-5)
+
+
 def test_fit_is_at_least_as_good_as_the_grid_and_the_truth():
     model = Structure(4)
     truth = np.array([0.5, 1e-4, 0.05, 1.0])
