@@ -12,6 +12,7 @@ from mlspark.catalog.joined import PAIRS
 from mlspark.catalog.ordered import COLLAPSED, EFFECT, rounded
 from mlspark.operators import anomaly, causal, drift, graph
 from mlspark.operators.batch import predict_batch
+from mlspark.operators.kernel_boundary import kernel_boundary
 from mlspark.plans.views import ERRORS, PLAYS, SCORED, TRIAL, event_values, plays, scored, table, trial
 from mlspark.session import written
 
@@ -169,6 +170,28 @@ def n4(spark, sf):
     return out.filter("anomaly = 1").select("l_orderkey", "l_linenumber", F.round("distance", 4).alias("distance"))
 
 
+@query("N4_kernel_boundary")
+def n4_kernel(spark, sf):
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_quantity", "l_extendedprice")
+    out = kernel_boundary(lines, F.col("l_returnflag") == "N", ["l_quantity", "l_extendedprice"], 0.05)
+    return out.filter("anomaly = 1").select("l_orderkey", "l_linenumber", F.round("score", 4).alias("score"))
+
+
+@query("N5_detector_votes")
+def n5_detectors(spark, sf):
+    # labels 7 and up are the novel ones; a fifth of the others is kept from fitting
+    rows = table(spark, sf, "embeddings").select("vec_id", "embedding", (F.col("label") >= 7).cast("int").alias("label"))
+    known = (F.col("label") == 0) & (F.col("vec_id") % 5 != 0)
+    tested = rows.filter(~known)
+    near = anomaly.lof(rows.filter(known), tested, 10, "vec_id", "embedding", 0.05).select("vec_id", F.col("anomaly").alias("lof"))
+    names = [f"e{i}" for i in range(len(rows.first()["embedding"]))]
+    wide = written(rows.select("vec_id", "label", *[F.col("embedding")[i].alias(c) for i, c in enumerate(names)]), "wide")
+    edge = kernel_boundary(wide, known, names, 0.05).select("vec_id", F.col("anomaly").alias("edge"))
+    tree = anomaly.isolation_forest(wide, "vec_id", names, 0.05).select("vec_id", F.col("anomaly").alias("tree"))
+    flags = tested.select("vec_id", "label").join(near, "vec_id").join(edge, "vec_id").join(tree, "vec_id")
+    return anomaly.vote_ensemble(written(flags, "flags"), ["lof", "edge", "tree"], "label")
+
+
 @query(
     "N5_vote_ensemble",
     "WITH " + SCORED + """, v AS (SELECT label, CAST(score >= 0.05 AS INT) + CAST(quality = 0 AS INT) + CAST(doc_id % 7 = 0 AS INT) AS votes FROM scored),

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from mlspark.catalog import query
 from mlspark.catalog.joined import ITEM_WEIGHTS, USER_SIMS, item_weights
+from mlspark.operators import joint_factors as J
 from mlspark.operators import joins
 from mlspark.operators import recommend as P
 from mlspark.operators.sampling import union_labeled
@@ -178,6 +179,12 @@ def p8(spark, sf):
     return P.rating_errors(P.mf_implicit_blend(train, test)).withColumn("model", F.lit("SVD++"))
 
 
+@query("P8_mf_implicit_joint")
+def p8_joint(spark, sf):
+    rows = written(ratings(spark, sf), "ratings")
+    return P.cross_validate_mf(rows, J.mf_implicit_joint, pair_key(), 3, "SVD++")
+
+
 @query("P9_naive_svd")
 def p9(spark, sf):
     train, test = split(spark, sf)
@@ -210,8 +217,9 @@ def p10(spark, sf):
         results[name] = union_labeled(
             {
                 "FunkSVD": P.rating_errors(P.mf_explicit(train, test)),
+                "SVD++": P.rating_errors(J.mf_implicit_joint(train, test)),
                 "NMF": P.rating_errors(P.predict_nonnegative(P.mf_nonnegative(train), train, test)),
-                "Naive SVD": P.rating_errors(P.naive_svd(train, test, 20, 2)),
+                "Naive SVD": P.rating_errors(P.naive_svd(train, test, 20)),
             },
             "model",
         )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -235,7 +237,7 @@ def _or(col: str, default) -> Column:
     return F.when(F.isnan(col) | F.col(col).isNull(), default).otherwise(F.col(col).cast("double"))
 
 
-def mf_explicit(train: DataFrame, test: DataFrame, rank: int = 10, iterations: int = 5, reg: float = 0.1) -> DataFrame:
+def mf_explicit(train: DataFrame, test: DataFrame, rank: int = 100, iterations: int = 20, reg: float = 0.1) -> DataFrame:
     """Biases plus latent factors of the residuals, clipped to the rating range: test rows + ``prediction``."""
     parts = biases(train)
     rest = written(baseline(train, *parts).withColumn("rest", F.col(RATING) - F.col("base")), "residuals")
@@ -244,7 +246,7 @@ def mf_explicit(train: DataFrame, test: DataFrame, rank: int = 10, iterations: i
     return scored.withColumn("prediction", clipped(F.col("base") + _or("prediction", F.lit(0.0)))).drop("base")
 
 
-def mf_nonnegative(train: DataFrame, rank: int = 10, iterations: int = 5, reg: float = 0.1):
+def mf_nonnegative(train: DataFrame, rank: int = 15, iterations: int = 50, reg: float = 0.1):
     """Factor model with non-negative factors, which can be read as topics of taste."""
     return _als(train, RATING, rank, iterations, reg, nonnegative=True)
 
@@ -268,7 +270,7 @@ def user_profile(model, users: DataFrame) -> DataFrame:
     return factor_rows(model.userFactors, USER).join(users.select(USER).distinct(), USER, "left_semi")
 
 
-def mf_implicit_blend(train: DataFrame, test: DataFrame, rank: int = 10, iterations: int = 5, reg: float = 0.1) -> DataFrame:
+def mf_implicit_blend(train: DataFrame, test: DataFrame, rank: int = 20, iterations: int = 20, reg: float = 0.1) -> DataFrame:
     """Explicit model plus a signal from which items were rated, fitted on the explicit residuals."""
     explicit = written(mf_explicit(train, train.unionByName(test), rank, iterations, reg).withColumnRenamed("prediction", "explicit"), "explicit")
     ones = train.select(*PAIR, F.lit(1.0).alias("one"))
@@ -284,7 +286,7 @@ def mf_implicit_blend(train: DataFrame, test: DataFrame, rank: int = 10, iterati
     return tested.select(*PAIR, RATING, clipped(F.col("explicit") + F.col("signal") * slope + shift).alias("prediction"))
 
 
-def _vector_sums(df: DataFrame, keys: list[str], vec: str) -> DataFrame:
+def vector_sums(df: DataFrame, keys: list[str], vec: str) -> DataFrame:
     """Sum of an array column per key, with partial sums before the shuffle."""
     sums = df.withColumn("_vec", array_to_vector(vec)).groupBy(*keys).agg(Summarizer.sum(F.col("_vec")).alias("_sum"))
     return sums.select(*keys, vector_to_array("_sum").alias(vec))
@@ -314,15 +316,17 @@ def _gram(vectors: DataFrame, vec: str, k: int) -> np.ndarray:
         yield pd.DataFrame({"g": [total.ravel()]})
 
     parts = vectors.select(vec).mapInPandas(outer, "g array<double>")
-    return np.array(_vector_sums(parts, [], "g").first()["g"]).reshape(k, k)
+    return np.array(vector_sums(parts, [], "g").first()["g"]).reshape(k, k)
 
 
-def naive_svd(train: DataFrame, test: DataFrame, k: int = 20, iterations: int = 3, seed: int = 42) -> DataFrame:
+def naive_svd(train: DataFrame, test: DataFrame, k: int = 20, iterations: int | None = None, seed: int = 42, settled: float = 1e-3) -> DataFrame:
     """Rank-k rebuild of the mean-filled matrix, evaluated on known pairs only: (pair, rating, prediction).
 
     The filled matrix is mean + sparse part, so its products with a thin matrix are joins of the ratings
     with k-vectors plus one constant vector; the dense matrix never exists.  Subspace iteration with a
-    Gram-matrix orthonormalisation finds the leading directions; every step is written out.
+    Gram-matrix orthonormalisation finds the leading directions; every step is written out.  Without
+    ``iterations`` it goes on until the squares held by all directions but the first, which is the mean's, grow by
+    no more than the share ``settled``; they are at most those of the matrix, so it ends.
     """
     mean = float(train.agg(F.avg(RATING)).first()[0])
     rest = train.select(*PAIR, (F.col(RATING) - F.lit(mean)).alias("r"))
@@ -334,13 +338,14 @@ def naive_svd(train: DataFrame, test: DataFrame, k: int = 20, iterations: int =
 
     def project(vectors: DataFrame, by: str, to: str) -> DataFrame:
         """Product of the filled matrix (or its transpose) with the vectors keyed by ``by``."""
-        const = np.array(_vector_sums(vectors, [], "v").first()["v"]) * mean
+        const = np.array(vector_sums(vectors, [], "v").first()["v"]) * mean
         scaled = rest.join(vectors, by).select(to, F.transform("v", lambda x: x * F.col("r")).alias("v"))
-        sums = _vector_sums(scaled, [to], "v")
+        sums = vector_sums(scaled, [to], "v")
         shift = F.array(*[F.lit(float(c)) for c in const])
         return sums.select(to, F.zip_with("v", shift, lambda a, b: a + b).alias("v"))
 
-    for step in range(iterations + 1):
+    held = 0.0
+    for step in count():
         if step:
             users = written(project(basis, ITEM, USER), "svd-users")
             basis = project(users, USER, ITEM)
@@ -352,6 +357,9 @@ def naive_svd(train: DataFrame, test: DataFrame, k: int = 20, iterations: int =
         basis = basis.select(ITEM, _times(whiten)("v").alias("v"))
         basis = written(basis, "svd-basis")
         k = int(keep.sum())
+        before, held = held, float(np.sqrt(values[keep][:-1]).sum())
+        if step == iterations or (iterations is None and step > 1 and held - before <= settled * held):
+            break
     users = project(basis, ITEM, USER)
     known = semi_known(test, train, PAIR)
     pairs = known.join(users.withColumnRenamed("v", "u"), USER).join(basis, ITEM)
