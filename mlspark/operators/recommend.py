@@ -319,7 +319,7 @@ def _gram(vectors: DataFrame, vec: str, k: int) -> np.ndarray:
     return np.array(vector_sums(parts, [], "g").first()["g"]).reshape(k, k)
 
 
-def naive_svd(train: DataFrame, test: DataFrame, k: int = 20, iterations: int | None = None, seed: int = 42, settled: float = 1e-3) -> DataFrame:
+def naive_svd(train: DataFrame, test: DataFrame, k: int = 20, iterations: int | None = None, seed: int = 42, settled: float = 0.01) -> DataFrame:
     """Rank-k rebuild of the mean-filled matrix, evaluated on known pairs only: (pair, rating, prediction).
 
     The filled matrix is mean + sparse part, so its products with a thin matrix are joins of the ratings
