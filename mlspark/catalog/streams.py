@@ -8,8 +8,8 @@ from pyspark.sql import types as T
 from mlspark.catalog import query
 from mlspark.operators.models import ColumnPipeline
 from mlspark.plans.views import table
-from mlspark.session import scratch_path
-from mlspark.streaming import jobs
+from mlspark.session import scratch_path, written
+from mlspark.streaming import drift, jobs, segments
 
 
 def feed_folder(spark, sf, files=4):
@@ -81,6 +81,60 @@ def t2_scores(spark, sf):
     return jobs.score_windows(jobs.window_bins(events.filter(F.col("ts") >= "2024-01-08"), "value", edges, "1 day"), shares)
 
 
+WEEK = "2024-01-08"
+
+
+def drift_inputs(spark, sf):
+    """Reference counts of the first week, and the later events as files."""
+    events = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    reference = written(drift.reference_counts(events.filter(F.col("ts") < WEEK), {"value": EDGES}, ["event_type"]), "drift-reference")
+    path, schema = feed_folder(spark, sf)
+    return reference, path, schema
+
+
+@query(
+    "T2_drift_verdicts",
+    "WITH " + BINNED + """,
+    v AS (SELECT start, 'value' AS col, CAST(bin AS VARCHAR) AS val FROM b UNION ALL
+          SELECT CAST(date_trunc('day', ts) AS TIMESTAMP), 'event_type', event_type FROM events),
+    r AS (SELECT col, val, count(*) AS ref FROM v WHERE start < TIMESTAMP '2024-01-08' GROUP BY 1, 2),
+    w AS (SELECT start, col, val, count(*) AS cur FROM v WHERE start >= TIMESTAMP '2024-01-08' GROUP BY 1, 2, 3),
+    vals AS (SELECT DISTINCT col, val FROM v),
+    d AS (SELECT DISTINCT start, col FROM w),
+    g AS (SELECT d.start, d.col, vals.val, coalesce(ref, 0) AS ref, coalesce(cur, 0) AS cur FROM d JOIN vals ON vals.col = d.col
+          LEFT JOIN r ON r.col = d.col AND r.val = vals.val LEFT JOIN w ON w.start = d.start AND w.col = d.col AND w.val = vals.val),
+    t AS (SELECT *, CAST(sum(ref) OVER (PARTITION BY start, col) AS DOUBLE) AS nr, CAST(sum(cur) OVER (PARTITION BY start, col) AS DOUBLE) AS nc,
+            sum(ref) OVER (PARTITION BY start, col ORDER BY val) AS ur, sum(cur) OVER (PARTITION BY start, col ORDER BY val) AS uc FROM g)
+    SELECT start, col AS "column", CASE WHEN col = 'value' THEN 'ks' ELSE 'chi2' END AS test, CAST(max(nc) AS BIGINT) AS n_cur,
+      round(CASE WHEN col = 'value' THEN max(abs(ur / nr - uc / nc))
+        ELSE sum(CASE WHEN ref + cur > 0 THEN pow(ref - (ref + cur) / (nr + nc) * nr, 2) / ((ref + cur) / (nr + nc) * nr)
+                      + pow(cur - (ref + cur) / (nr + nc) * nc, 2) / ((ref + cur) / (nr + nc) * nc) ELSE 0 END) END, 6) AS statistic
+    FROM t GROUP BY start, col""",
+)
+def t2_verdicts(spark, sf):
+    """Figures per day and column; verdicts and the share row are held against the batch report in the tests."""
+    rows = live_verdicts(spark, sf)
+    figures = rows.filter(F.col("test") != "share").select("start", "column", "test", "n_cur", F.round("statistic", 6).alias("statistic"))
+    return figures.withColumn("start", F.col("start").cast("timestamp_ntz"))
+
+
+def live_verdicts(spark, sf):
+    reference, path, schema = drift_inputs(spark, sf)
+    out, progress = scratch_path(spark, "verdicts"), scratch_path(spark, "progress")
+
+    def start(feed):
+        return drift.stream_verdicts(feed.filter(F.col("ts") >= WEEK), reference, {"value": EDGES}, ["event_type"], out, progress)
+
+    run_to_end(spark, path, schema, start)
+    return drift.read_verdicts(spark, out)
+
+
+@query("T2_drifted_windows")
+def t2_drifted(spark, sf):
+    """Verdicts with their p-values, the share of drifted columns per day included."""
+    return live_verdicts(spark, sf).withColumns({c: F.round(c, 6) for c in ("statistic", "p_value")})
+
+
 @query(
     "T3_stream_sessions",
     """WITH e AS (SELECT user_id, event_id, ts, coalesce(ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) >= INTERVAL 2 HOUR, true) AS b FROM events),
@@ -95,6 +149,21 @@ def t3(spark, sf):
     return rows.withColumns({c: F.col(c).cast(T.TimestampNTZType()) for c in ("start", "last_ts")})
 
 
+@query(
+    "T3_stream_segments",
+    """WITH e AS (SELECT user_id, event_id, epoch_us(ts) // 1000 AS ms, ts FROM events WHERE ts IS NOT NULL),
+       f AS (SELECT *, coalesce(ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) >= INTERVAL 6 HOUR, true) AS b FROM e),
+       g AS (SELECT *, CAST(sum(CAST(b AS INT)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS segment FROM f)
+       SELECT user_id, segment, min(ms) - CASE WHEN segment > 1 THEN 600000 ELSE 0 END AS start_ms, max(ms) + 600000 AS end_ms, count(*) AS n_events
+       FROM g GROUP BY user_id, segment""",
+)
+def t3_segments(spark, sf):
+    path, schema = feed_folder(spark, sf)
+    out, progress = scratch_path(spark, "segments"), scratch_path(spark, "progress")
+    run_to_end(spark, path, schema, lambda feed: segments.stream_segments(feed, "user_id", out, progress, 21_600_000, 600_000, "3 hours"))
+    return spark.read.schema("user_id long, segment long, start_ms long, end_ms long, n_events long").parquet(out)
+
+
 @query(
     "T4_stream_rules",
     """SELECT event_id, concat_ws(',', CASE WHEN value > 40 THEN 'large' END, CASE WHEN event_type = 'error' AND value > 10 THEN 'costly_error' END,
