@@ -13,6 +13,7 @@ from mlspark.catalog import query
 from mlspark.catalog.ordered import rounded
 from mlspark.operators import features as X
 from mlspark.operators import models as M
+from mlspark.operators import tuning as U
 from mlspark.operators.reshape import metrics_table
 from mlspark.operators.sampling import split_random
 from mlspark.plans.ordered import spread_hash
@@ -218,29 +219,32 @@ def m4(spark, sf):
     return report(M.forest_classifier(CHURN_PREP, train, "churn"), test, "churn")
 
 
+PARALLEL = 4  # fits at once
+
+
 def tuned(spark, sf):
     train, valid = churn_parts(spark, sf)
     prep = CHURN_PREP.fit(train)
     train, valid = (prep.transform(d).select("features", "churn") for d in (train, valid))
-    trials = M.random_grid({"maxIter": (5, 15), "stepSize": (0.01, 0.3), "maxDepth": (2, 5)}, 4)
+    trials = U.random_grid({"maxIter": (5, 15), "stepSize": (0.01, 0.3), "maxDepth": (2, 5)}, 4)
 
     def make(params):
         return GBTClassifier(featuresCol="features", labelCol="churn", seed=42, **params)
 
-    return M.tune(train, valid, make, trials, "churn")
+    return U.tune(train, valid, make, trials, "churn", parallelism=PARALLEL)
 
 
 @query("M5_tune")
 def m5(spark, sf):
     best, log = tuned(spark, sf)
-    return M.best_trial(log).withColumn("best_depth", F.lit(best["maxDepth"]))
+    return U.best_trial(log).withColumn("best_depth", F.lit(best["maxDepth"]))
 
 
 @query("M6_trial_log")
 def m6(spark, sf):
     _, log = tuned(spark, sf)
     path = scratch_path(spark, "trials")
-    M.append_trial_log(log, path)
+    U.append_trial_log(log, path)
     return spark.read.schema(log.schema).parquet(path)
 
 
@@ -270,7 +274,7 @@ class Above:
 def m6_metrics(spark, sf):
     """The tuner's figures for an integer label and double predictions, which SQL can state for fixed rules."""
     rows = table(spark, sf, "lineitem").select("l_quantity", (F.col("l_returnflag") == "R").cast("int").alias("label"))
-    _, log = M.tune(rows, rows, lambda params: Above("l_quantity", params["bound"]), [{"bound": b} for b in (10, 25, 40, 60)], "label")
+    _, log = U.tune(rows, rows, lambda params: Above("l_quantity", params["bound"]), [{"bound": b} for b in (10, 25, 40, 60)], "label")
     figures = [F.round(c, 9).alias(c) for c in ("precision", "recall", "f1", "score")]
     return log.select(F.col("params")["bound"].alias("bound"), *figures)
 
@@ -288,7 +292,7 @@ def m7(spark, sf):
         model = GBTRegressor(featuresCol="features", labelCol="l_extendedprice", maxIter=20, maxDepth=4, seed=42).fit(assemble.transform(crossed))
         return lambda held_out: model.transform(assemble.transform(X.interactions(clusters.transform(held_out), pairs)))
 
-    folds = M.cross_validate(rows, "row_id", "l_extendedprice", fit, 5)
+    folds = U.cross_validate(rows, "row_id", "l_extendedprice", fit, 5, parallelism=PARALLEL)
     return folds.agg(F.avg("mse").alias("mse_mean"), F.stddev_pop("mse").alias("mse_std"))
 
 

@@ -1,4 +1,4 @@
-"""Models: comparison, tuning, validation, explanation and the gated training pipeline."""
+"""Models: comparison, explanation and the gated training pipeline."""
 
 from __future__ import annotations
 
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from mlspark.operators.clean import categories, most_frequent, require_columns
 from mlspark.operators.metrics import accuracy, classification_report, regression_metrics
-from mlspark.operators.sampling import kfold, split_random
+from mlspark.operators.sampling import split_random
 from mlspark.session import written
 
 
@@ -191,7 +191,7 @@ def compare_regressors(train: DataFrame, test: DataFrame, cols: Sequence[str], l
     return out
 
 
-# ---- classifiers with class weights, tuning -------------------------------------------------------------
+# ---- classifiers with class weights -------------------------------------------------------------
 
 
 def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
@@ -213,63 +213,6 @@ def forest_classifier(prep: ColumnPipeline, train: DataFrame, label: str, trees:
     return prep.fit(train, RandomForestClassifier(featuresCol=prep.output, labelCol=label, numTrees=trees, maxDepth=depth, seed=42))
 
 
-def random_grid(space: Mapping[str, tuple], n: int, seed: int = 42) -> list[dict]:
-    """n seeded draws; an int range draws ints, a float range floats."""
-    rng = random.Random(seed)
-
-    def draw(low, high):
-        return rng.randint(low, high) if isinstance(low, int) else rng.uniform(low, high)
-
-    return [{name: draw(*bounds) for name, bounds in space.items()} for _ in range(n)]
-
-
-def trial_score(recall: float, f1: float, minimum_recall: float = 0.1) -> float:
-    """F1, or a negative penalty when the recall is too low."""
-    return f1 if recall >= minimum_recall else -(1.0 - recall)
-
-
-def tune(
-    train: DataFrame, valid: DataFrame, make: Callable[[dict], object], trials: Sequence[dict], label: str, positive: int = 1
-) -> tuple[dict, DataFrame]:
-    """(best parameters, trial log).  ``make`` turns parameters into an estimator; the log has one row per
-    trial with parameters, precision, recall, F1 and score."""
-    train, valid = written(train, "tune-train"), written(valid, "tune-valid")
-    rows = []
-    for number, params in enumerate(trials):
-        scored = make(params).fit(train).transform(valid)
-        row = classification_report(scored, label, "prediction").filter(F.col("class") == str(positive)).first()
-        precision, recall, f1 = (row["precision"], row["recall"], row["f1"]) if row else (0.0, 0.0, 0.0)
-        rows.append((number, {k: str(v) for k, v in params.items()}, precision, recall, f1, trial_score(recall, f1)))
-    log = train.sparkSession.createDataFrame(
-        rows, "trial int, params map<string, string>, precision double, recall double, f1 double, score double"
-    )
-    best = max(rows, key=lambda r: (r[-1], -r[0]))
-    return dict(trials[best[0]]), log
-
-
-def append_trial_log(log: DataFrame, path: str) -> None:
-    log.write.mode("append").parquet(path)
-
-
-def best_trial(log: DataFrame) -> DataFrame:
-    return log.orderBy(F.desc("score"), "trial").limit(1)
-
-
-def cross_validate(
-    df: DataFrame, key: str, label: str, fit: Callable[[DataFrame], Callable[[DataFrame], DataFrame]], folds: int = 5, order: Column | None = None
-) -> DataFrame:
-    """(fold, mse) with everything refitted inside the fold: ``fit(train)`` returns a function that adds
-    ``prediction``, so features learned from data never see the held-out rows."""
-    split = written(kfold(df, key, folds, order=order), "cv")
-    out = None
-    for fold in range(folds):
-        predict = fit(split.filter(F.col("fold") != fold).drop("fold"))
-        held_out = predict(split.filter(F.col("fold") == fold).drop("fold"))
-        row = regression_metrics(held_out, label, "prediction").select(F.lit(fold).alias("fold"), "mse")
-        out = row if out is None else out.unionByName(row)
-    return out
-
-
 # ---- explanation ------------------------------------------------------------------------------------------
 
 

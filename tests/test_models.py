@@ -11,7 +11,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from mlspark.functions import columns as C
-from mlspark.operators import anomaly, causal, drift, models, recommend, text, timeseries
+from mlspark.operators import anomaly, causal, drift, models, recommend, text, timeseries, tuning
 from mlspark.session import scratch_path, written
 
 EDUCATION = ["High School", "Bachelor", "Master", "PhD"]
@@ -182,7 +182,7 @@ def test_gate(spark):
 
 
 def test_low_recall_is_penalised():
-    assert models.trial_score(0.05, 0.4) == pytest.approx(-0.95) and models.trial_score(0.5, 0.4) == 0.4
+    assert tuning.trial_score(0.05, 0.4) == pytest.approx(-0.95) and tuning.trial_score(0.5, 0.4) == 0.4
 
 
 def test_naive_svd_matches_numpy(spark):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from mlspark.operators import models as M
 from mlspark.operators import timeseries as S
+from mlspark.operators import tuning as U
 from mlspark.operators.metrics import classification_report
 
 
@@ -30,7 +31,7 @@ class Fixed:
 
 def test_tuner_figures_stay_between_0_and_1(spark):
     rows = spark.createDataFrame([(1, 1), (1, 1), (0, 1), (0, 0)], "label int, guess int")
-    best, log = M.tune(rows, rows, lambda _: Fixed(), [{"a": 1}], "label")
+    best, log = U.tune(rows, rows, lambda _: Fixed(), [{"a": 1}], "label")
     row = log.first()
     assert (row["precision"], row["recall"], row["f1"]) == pytest.approx((2 / 3, 1.0, 0.8))
     assert best == {"a": 1}
