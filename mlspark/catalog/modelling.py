@@ -208,8 +208,8 @@ def report(model, test, label):
 @query("M3_boosted_classifier")
 def m3(spark, sf):
     train, test = churn_parts(spark, sf)
-    plain = report(M.boosted_classifier(CHURN_PREP, train, "churn", False, maxIter=10, maxDepth=3), test, "churn")
-    balanced = report(M.boosted_classifier(CHURN_PREP, train, "churn", True, maxIter=10, maxDepth=3), test, "churn")
+    plain = report(M.boosted_classifier(CHURN_PREP, train, "churn", False, maxIter=100, maxDepth=3), test, "churn")
+    balanced = report(M.boosted_classifier(CHURN_PREP, train, "churn", True, maxIter=100, maxDepth=3), test, "churn")
     return plain.withColumn("balanced", F.lit(False)).unionByName(balanced.withColumn("balanced", F.lit(True)))
 
 
@@ -226,7 +226,7 @@ def tuned(spark, sf):
     train, valid = churn_parts(spark, sf)
     prep = CHURN_PREP.fit(train)
     train, valid = (prep.transform(d).select("features", "churn") for d in (train, valid))
-    trials = U.random_grid({"maxIter": (5, 15), "stepSize": (0.01, 0.3), "maxDepth": (2, 5)}, 4)
+    trials = U.random_grid({"maxIter": (5, 15), "stepSize": (0.01, 0.3), "maxDepth": (3, 10)}, 16)
 
     def make(params):
         return GBTClassifier(featuresCol="features", labelCol="churn", seed=42, **params)
