@@ -107,3 +107,26 @@ def test_base_rows_go_only_to_blocks_that_visit_their_cell(spark):
     visits = left.select(F.explode(neighbours.cells_to_visit(cells, 3, None)("query_vec")).alias("cell")).distinct().collect()
     near = sum(int(cells.count[r["cell"]]) for r in visits)
     assert 100 <= near <= 130  # the three other clusters are never copied
+
+
+@pytest.mark.parametrize("postings,posting", [(1 << 21, 1 << 16), (40, 5)])
+def test_rare_dimensions_are_met_by_dimension(spark, monkeypatch, postings, posting):
+    """Rows that share few dimensions: no pairs of blocks, the same lists as by brute force, copies and cuts included."""
+    rng = np.random.default_rng(2)
+    dense = (rng.random((200, 300)) < 0.01) * rng.integers(1, 6, (200, 300))
+    dense[:, 0] = (np.arange(200) % 40 == 0) * 3
+    dense[40:60] = dense[40]
+    entries = pd.DataFrame([(i, j, int(v)) for (i, j), v in np.ndenumerate(dense) if v], columns=["u", "i", "r"])
+    rows = neighbours.unit_rows(spark.createDataFrame(entries), "u", "i", "r")
+    monkeypatch.setattr(neighbours, "POSTINGS", postings)
+    monkeypatch.setattr(neighbours, "POSTING", posting)
+    monkeypatch.setattr(neighbours, "_by_blocks", None)
+    got = neighbours.sparse_topk(rows, 7, 10).orderBy("a", "rank").toPandas()
+    unit = dense / np.maximum(np.linalg.norm(dense, axis=1, keepdims=True), 1e-9)
+    sims = unit @ unit.T
+    np.fill_diagonal(sims, -1)
+    for i in range(200):
+        order = np.lexsort((np.arange(200), -sims[i].round(6)))[:7]
+        want = [j for j in order if sims[i][j] > 0]
+        assert list(got[got.a == i].b) == want
+        assert np.allclose(got[got.a == i].sim, sims[i][want])
