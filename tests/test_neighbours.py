@@ -7,7 +7,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from mlspark.operators import sampling
+from mlspark.operators import joins, recommend, sampling
 from mlspark.plans import neighbours
 
 
@@ -130,3 +130,24 @@ def test_rare_dimensions_are_met_by_dimension(spark, monkeypatch, postings, post
         want = [j for j in order if sims[i][j] > 0]
         assert list(got[got.a == i].b) == want
         assert np.allclose(got[got.a == i].sim, sims[i][want])
+
+
+def test_pairs_of_users_and_items_are_not_shuffled(spark):
+    """Neighbours' items are opened after the last shuffle: it moves one row per pair of users."""
+    train = spark.createDataFrame([(u, i, 1 + (u + i) % 5) for u in range(8) for i in range(u, u + 6)], "user_id long, item_id long, rating int")
+    near = spark.createDataFrame([(a, b, 1.0 / (1 + abs(a - b))) for a in range(8) for b in range(8) if a != b], "a long, b long, sim double")
+    pairs = joins.candidate_pairs(near, train)
+    scores = recommend.cf_scores(near, train)
+    for df in (pairs.select("user_id", "item_id").distinct(), scores):
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        executed = df._jdf.queryExecution().executedPlan().toString()
+        assert executed.index("Generate") < executed.index("Exchange") and "Generate" in plan
+    mine = {u: set(range(u, u + 6)) for u in range(8)}
+    reach = {(u, i, 1 / (1 + abs(u - b)), 1 + (b + i) % 5) for u in range(8) for b in range(8) if b != u for i in mine[b] - mine[u]}
+    assert {tuple(r) for r in pairs.select("user_id", "item_id", "sim", "rating").collect()} == reach
+    for r in scores.collect():
+        part = [(s, v) for u, i, s, v in reach if (u, i) == (r.user_id, r.item_id)]
+        every = [(1 / (1 + abs(r.user_id - b)), 1 + (b + r.item_id) % 5) for b in range(8) if b != r.user_id and r.item_id in mine[b]]
+        assert set(part) == set(every)
+        assert r.score == pytest.approx(sum(s * v for s, v in every) / sum(s for s, _ in every))
+    assert scores.count() == len({(u, i) for u, i, _, _ in reach})
