@@ -151,3 +151,17 @@ def test_pairs_of_users_and_items_are_not_shuffled(spark):
         assert set(part) == set(every)
         assert r.score == pytest.approx(sum(s * v for s, v in every) / sum(s for s, _ in every))
     assert scores.count() == len({(u, i) for u, i, _, _ in reach})
+
+
+def test_copies_of_a_query_do_not_grow_with_the_cells(spark, vectors):
+    """Many small cells: they are visited in groups, each side has about as many parts as ``PARTS``, and results stay exact."""
+    data, df = vectors
+    cells = neighbours.Cells(np.zeros((400, 2)), np.zeros(400), np.full(400, 10))
+    bins, first, last = cells.groups(10)
+    assert len(bins) == 400 and bins.max() < 2 * neighbours.PARTS and (first <= last).all() and (np.diff(bins) >= 0).all()
+    assert np.bincount(bins).max() * 10 <= neighbours.wide(4000, 10) <= 10 * neighbours.WIDEST
+    got = neighbours.vector_topk(df, df, 6, exclude_self=True, pivots=60, chunk=2).orderBy("query_id", "rank").toPandas()
+    want, d = brute(data, 6)
+    assert {q: list(part.base_id) for q, part in got.groupby("query_id")} == want
+    near = neighbours.vector_within(df, df, 0.8, exclude_self=True, pivots=60, chunk=2).toPandas()
+    assert set(zip(near.query_id, near.base_id)) == set(zip(*np.nonzero(d <= 0.8)))
