@@ -14,10 +14,9 @@ The tables mark no personal data, so the trees learn from made cases in real con
 * Candidates of the texts themselves that are no base span are unlabelled and take no part.
 
 A threshold for each generator, set on cases kept from the fit for a precision of ``PRECISION``, selects the
-candidates to add; one that overlaps a base span adds nothing and is left out.  Trees are fitted on at most
-``SAMPLE`` cases, chosen by hash, and applied as a column expression, so every text is read and rated inside
-the scan.  Positions are code points, ends exclusive; they come from running sums by doubling, so n matches cost
-n log n.
+candidates to add; one that overlaps a base span adds nothing and is left out.  Trees and thresholds are fitted on
+the cases of all texts, and applied as a column expression, so every text is read and rated inside the scan.
+Positions are code points, ends exclusive; they come from running sums by doubling, so n matches cost n log n.
 
 Defined cases: a missing text is empty; it has no spans and the digest of the empty string; equal texts
 give equal spans; without cases of both classes nothing is added to the base spans; an empty table
@@ -31,13 +30,14 @@ from collections.abc import Callable
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mlspark.llm.spans import let, places, running
+from mlspark.plans.ordered import running_sums
 from mlspark.session import written
 
-SAMPLE = 20_000
 ROUNDS, DEPTH, BINS = 12, 3, 32
 PRECISION = 0.99
 FOLDS = 4  # one of so many sets the thresholds
@@ -231,7 +231,9 @@ class Boosted:
 
 
 def threshold(rated: list[tuple[float, int]], precision: float = PRECISION) -> float:
-    """The smallest score from which on the share of true candidates reaches ``precision``; 2 if none does."""
+    """The smallest score from which on the share of true candidates reaches ``precision``; 2 if none does.
+
+    The plain form of ``thresholds``, which is held against it."""
     best, true, n = 2.0, 0, 0
     for i, (value, label) in enumerate(rows := sorted(rated, reverse=True)):
         true, n = true + label, n + 1
@@ -241,6 +243,16 @@ def threshold(rated: list[tuple[float, int]], precision: float = PRECISION) -> f
     return best
 
 
+def thresholds(rated: DataFrame, precision: float = PRECISION) -> list[float]:
+    """``threshold`` of each generator over a table (kind, score, label); equal scores are added up before they are ordered."""
+    sums = rated.groupBy("kind", "score").agg(F.sum("label").alias("hits"), F.count(F.lit(1)).alias("rows"))
+    totals = {"true": F.col("hits"), "n": F.col("rows")}
+    summed = running_sums(written(sums, "scores"), ["kind"], "score", totals, descending=True)
+    cuts = summed.filter(F.col("true") >= precision * F.col("n")).groupBy("kind").agg(F.min("score").alias("score"))
+    found = {r["kind"]: r["score"] for r in cuts.collect()}
+    return [found.get(len(BASE) + k, 2.0) for k in range(len(GENERATORS))]
+
+
 def with_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, base, candidates) of every row."""
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -308,8 +320,8 @@ def plain(place: Column, text: Column) -> Column:
     )
 
 
-def cases(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """At most ``sample`` made cases, half of each class: (label, place, before, made, after)."""
+def cases(docs: DataFrame, sample: int | None = None) -> DataFrame:
+    """The made cases of all texts: (label, place, before, made, after).  With ``sample``, half as many of each class at most."""
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("hits", base_hits(F.col("text")))
     spans = texts.select("doc_id", F.explode("hits").alias("h")).withColumn("place", F.xxhash64("doc_id", "h.start", "h.kind"))
     true = spans.select(F.lit(1).alias("label"), "place", "h.before", rewritten(F.col("h.hit"), F.col("h.kind"), F.col("place")).alias("made"), "h.after")
@@ -317,9 +329,9 @@ def cases(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     at = F.pmod(F.shiftright("place", 3), F.greatest(F.length("text") - 36, F.lit(1))).cast("int") + 1
     before, after = F.concat(F.substring("text", at, F.lit(23)), F.lit(" ")), F.concat(F.lit(" "), F.substring("text", at + 23, F.lit(11)))
     around = [before.alias("before"), plain(F.col("place"), F.col("text")).alias("made"), after.alias("after")]
-    false = neutral.select(F.lit(0).alias("label"), "place", *around)
-    columns = ["place", "before", "made", "after"]
-    halves = [part.orderBy(*columns).limit(sample // 2) for part in (true, false)]
+    halves = [true, neutral.select(F.lit(0).alias("label"), "place", *around)]
+    if sample is not None:
+        halves = [part.orderBy("place", "before", "made", "after").limit(sample // 2) for part in halves]
     return written(halves[0].unionByName(halves[1]), "cases")
 
 
@@ -336,7 +348,7 @@ def described(made: DataFrame) -> DataFrame:
     ).select("label", "place", "kind", "features")
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE) -> Boosted:
+def fit(docs: DataFrame, sample: int | None = None) -> Boosted:
     """Trees and thresholds from made cases in the contexts of all texts."""
     vector = VectorAssembler(inputCols=FEATURES, outputCol="vector")
     table = described(cases(docs, sample))
@@ -348,9 +360,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Boosted:
         return Boosted([], [])
     model = GBTClassifier(featuresCol="vector", maxIter=ROUNDS, maxDepth=DEPTH, maxBins=BINS, stepSize=0.3, seed=5).fit(fitting)
     trees = [(w, t.toDebugString) for w, t in zip(model.treeWeights, model.trees, strict=True)]
-    rated = model.transform(kept).select("kind", F.col("label").cast("int").alias("label"), "probability").collect()
-    cuts = [threshold([(float(r["probability"][1]), r["label"]) for r in rated if r["kind"] == len(BASE) + k]) for k in range(len(GENERATORS))]
-    return Boosted(trees, cuts)
+    rated = model.transform(kept).select("kind", F.col("label").cast("int").alias("label"), vector_to_array("probability")[1].alias("score"))
+    return Boosted(trees, thresholds(rated))
 
 
 def written_out(spans: Column) -> Column:
@@ -372,5 +383,5 @@ def find(docs: DataFrame, model: Boosted) -> DataFrame:
     return spans.select("doc_id", *counts, digest, written_out(in_order(F.concat("base", added))).alias("spans"))
 
 
-def detect(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def detect(docs: DataFrame, sample: int | None = None) -> DataFrame:
     return find(docs, fit(docs, sample))

@@ -138,6 +138,20 @@ def test_thresholds():
     assert P.threshold([(0.9, 0)], 0.95) == 2.0 == P.threshold([], 0.95)
 
 
+def test_thresholds_of_a_table_are_those_of_a_list(spark):
+    rng = random.Random(4)
+    rows = [(4 + i % 2, round(s := rng.random(), 2), int(rng.random() < 0.6 + s / 2)) for i in range(3000)]
+    got = P.thresholds(spark.createDataFrame(rows, "kind int, score double, label int"), 0.97)
+    assert got == [P.threshold([(s, y) for k, s, y in rows if k == 4 + g], 0.97) for g in range(3)]
+    assert got[0] < 1 and got[2] == 2.0
+
+
+def test_cases_of_all_texts_are_fitted(spark):
+    """22,000 false and 11,000 true cases: none is left out."""
+    made = P.cases(spark.range(22_000).selectExpr("id doc_id", "if(id % 2 = 0, 'walked to the river', concat('write a', id, '@b.org now')) text"))
+    assert {r["label"]: r["count"] for r in made.groupBy("label").count().collect()} == {0: 22_000, 1: 11_000}
+
+
 def test_no_python_in_the_plan(spark):
     docs = spark.createDataFrame(texts()[:20], "doc_id long, text string")
     plan = P.find(docs, P.Boosted([(1.0, "t\n If (feature 0 <= 0.5)\n  Predict: 0.1\n Else (feature 0 > 0.5)\n  Predict: -0.1")], [0.5] * 3))
