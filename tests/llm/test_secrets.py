@@ -110,3 +110,39 @@ def test_secrets_without_a_name_beside_them_are_found(spark, fitted):
         spans = [tuple(map(int, s.split(":")[:2])) for s in r["secrets"].split(",") if s]
         hits = [text[a:b].removeprefix("on=") for a, b in spans]
         assert hits == want, (text, hits)
+
+
+def test_words_of_all_texts_are_counted(spark):
+    """Each of 900 words is in three of 2,700 texts; the word of a text without an id is not counted."""
+    letters = "abcdefghij"
+    word = lambda n: "word" + "".join(letters[int(c)] for c in f"{n:03d}")
+    rows = [(i, f"{word(i // 3)} {word(i // 3)} TOO") for i in range(2700)] + [(None, "other words")] * 4 + [(9000, None)]
+    assert S.dictionary(spark.createDataFrame(rows, "doc_id long, text string")) == {word(n) for n in range(900)}
+
+
+def test_all_findings_are_fitted(spark):
+    """One true finding in 20 is of a kind that 30 findings of a class would hardly show; Spark's forest sees them all."""
+    rng = random.Random(8)
+    pick = lambda alphabet, n: "".join(rng.choices(alphabet, k=n))
+    rare = {i for i in range(0, 1200, 40)}
+    rows = [(i, pick("XYZ-", 24) if i in rare else pick("0123456789abcdef", 40) if i % 2 == 0 else pick("abcdefgh", 20)) for i in range(1200)]
+    docs = spark.createDataFrame([(i, f"the {t} end") for i, t in rows], "doc_id long, text string")
+    findings = spark.createDataFrame([(i, 4, 4 + len(t), int(i % 2 == 0)) for i, t in rows], "doc_id long, start long, end long, label int")
+    forest = S.fit(docs, findings, per_class=30)
+    assert len(forest.trees) == S.TREES
+    scores = {i: float(forest.scores(f"the {t} end", [(4, 4 + len(t))])[0]) for i, t in rows}
+    assert all((score >= S.CUT) == (i % 2 == 0) for i, score in scores.items())
+    assert min(scores[i] for i in rare) > 0.8
+
+
+def test_printed_trees_predict_as_the_fitted_ones(spark):
+    rng = random.Random(5)
+    rows = [([rng.random(), float(rng.randrange(3)), rng.random()], 0) for _ in range(600)]
+    rows = [(x, int(x[0] + x[1] > 1.4)) for x, _ in rows]
+    data = spark.createDataFrame(rows, "x array<double>, y int")
+    sizes = {0: sum(y == 0 for _, y in rows), 1: sum(y for _, y in rows)}
+    trees = S.spark_forest(data, sizes, 100, 1)
+    scores = np.mean([t.predict(np.array([x for x, _ in rows])) for t in trees], axis=0)
+    assert np.mean((scores > 0.5) == [y for _, y in rows]) > 0.95
+    tree = S.printed_tree("t\n If (feature 1 <= 0.5)\n  If (feature 0 <= 2.0E-4)\n   Predict: 0.1\n  Else (feature 0 > 2.0E-4)\n   Predict: 0.2\n Else (feature 1 > 0.5)\n  Predict: 0.3")
+    assert list(tree.predict(np.array([[1e-4, 0.0], [1.0, 0.5], [0.0, 0.6]]))) == [0.1, 0.2, 0.3]
