@@ -240,35 +240,38 @@ def shapley_contributions(
 ) -> DataFrame:
     """(key, feature, contribution) for any model, averaged over sampled feature orders.
 
-    Every row is expanded to one row per order and prefix; feature values come from the row inside the
-    prefix and from the background outside, all scored in one pass.  Contributions of a row add up to
-    its prediction minus the background prediction.
+    Feature values come from the row inside a prefix of an order and from the background outside.  Every prefix is
+    scored once, next to the row, and a row's gains are taken there; only its sums per feature go to its key.
+    Contributions of a row add up to its prediction minus the background prediction.
     """
     rng = random.Random(seed)
     plans = [rng.sample(list(cols), len(cols)) for _ in range(orders)]
-    steps = F.explode(
-        F.array(*[F.struct(F.lit(o).alias("o"), F.lit(i).alias("i")) for o in range(orders) for i in range(len(cols) + 1)])
-    )
-    expanded = df.select(key, *cols, steps.alias("_s")).select(key, *cols, F.col("_s.o").alias("_o"), F.col("_s.i").alias("_i"))
-
-    def value(c: str) -> Column:
-        shown = None
-        for o, plan in enumerate(plans):
-            hit = (F.col("_o") == o) & (F.col("_i") > plan.index(c))
-            shown = hit if shown is None else shown | hit
-        return F.when(shown, F.col(c)).otherwise(F.lit(float(background[c]))).alias(c)
-
-    mixed = expanded.select(key, "_o", "_i", *[value(c) for c in cols])
-    scored = predict(mixed).select(key, "_o", "_i", "prediction")
-    runs = scored.groupBy(key, "_o").agg(F.array_sort(F.collect_list(F.struct("_i", "prediction"))).alias("p"))
-    names = F.element_at(F.array(*[F.array(*[F.lit(c) for c in plan]) for plan in plans]), F.col("_o") + 1)
-    gains = F.transform(
-        F.sequence(F.lit(0), F.lit(len(cols) - 1)),
-        lambda i: F.struct(
-            F.get(names, i).alias("feature"), (F.get(F.col("p"), i + 1)["prediction"] - F.get(F.col("p"), i)["prediction"]).alias("gain")
-        ),
-    )
-    return runs.select(key, F.inline(gains)).groupBy(key, "feature").agg(F.avg("gain").alias("contribution"))
+    own = {c: f"_x{at}" for at, c in enumerate(cols)}
+    rows = df.select(key, *[F.col(c).alias(x) for c, x in own.items()])
+    # equal prefixes of two orders hold the same features and are scored together
+    scores: dict[frozenset, str] = {}
+    for prefix in (frozenset(plan[:i]) for plan in plans for i in range(len(cols) + 1)):
+        if prefix not in scores:
+            shown = {c: F.col(own[c]) if c in prefix else F.lit(float(background[c])) for c in cols}
+            kept = [key, *own.values(), *scores.values()]
+            scores[prefix] = f"_p{len(scores)}"
+            rows = predict(rows.withColumns(shown)).select(*kept, F.col("prediction").alias(scores[prefix]))
+    sums = []
+    for at, c in enumerate(cols):
+        steps = [(frozenset(plan[: plan.index(c) + 1]), frozenset(plan[: plan.index(c)])) for plan in plans]
+        gains = F.array(*[F.col(scores[after]) - F.col(scores[before]) for after, before in steps])
+        sums.append(F.filter(gains, lambda g: g.isNotNull()).alias(f"_g{at}"))
+    gained = rows.select(key, *sums)
+    parts = [
+        part
+        for at in range(len(cols))
+        for part in (
+            F.sum(F.aggregate(f"_g{at}", F.lit(0.0), lambda s, g: s + g)).alias(f"_s{at}"),
+            F.sum(F.size(f"_g{at}")).alias(f"_n{at}"),
+        )
+    ]
+    means = [F.struct(F.lit(c).alias("feature"), F.try_divide(f"_s{at}", f"_n{at}").alias("contribution")) for at, c in enumerate(cols)]
+    return gained.groupBy(key).agg(*parts).select(key, F.inline(F.array(*means)))
 
 
 # ---- gated pipeline -----------------------------------------------------------------------------------------

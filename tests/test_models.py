@@ -1,6 +1,7 @@
 """Feature values on small frames, and planted ground truth for the model-based operators."""
 
 import math
+import random
 
 import numpy as np
 import pandas as pd
@@ -168,6 +169,23 @@ def test_shapley_adds_up(spark):
     assert np.allclose(both.total, both.prediction - base)
 
 
+def test_shapley_of_repeated_keys_is_their_mean_and_rows_are_shuffled_once(spark):
+    """Sums of a product by hand, for the order that the seed gives; a key that comes twice has the mean of its rows."""
+    df = spark.createDataFrame([(1, 2.0, 3.0), (1, 4.0, 5.0), (2, 6.0, 7.0), (None, 1.0, 1.0)], "id int, a double, b double")
+    parts = models.shapley_contributions(df, "id", ["a", "b"], {"a": 1.0, "b": 1.0}, lambda d: d.withColumn("prediction", F.col("a") * F.col("b")), orders=1)
+    assert parts._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    got = {(r["id"], r["feature"]): r["contribution"] for r in parts.collect()}
+    first = random.Random(42).sample(["a", "b"], 2)[0]
+    by_hand = {1: [(2.0, 3.0), (4.0, 5.0)], 2: [(6.0, 7.0)], None: [(1.0, 1.0)]}
+    want = {}
+    for i, rows in by_hand.items():
+        alone = {"a": [a - 1 for a, _ in rows], "b": [b - 1 for _, b in rows]}
+        for c, other in (("a", "b"), ("b", "a")):
+            rest = [a * b - 1 - x for (a, b), x in zip(rows, alone[first])]
+            want[i, c] = float(np.mean(alone[c] if c == first else rest))
+    assert got == want
+
+
 def test_gate(spark):
     rng = np.random.default_rng(14)
     x = rng.normal(0, 1, 300)
