@@ -126,3 +126,15 @@ def test_one_query_for_each_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
     assert numbers == list(range(1, 11))
     assert corpus_pipeline.ORACLE_SQL is None and near_dedup.SIMILARITY == 0.8
+
+
+def test_secrets_are_fitted_on_all_texts(spark, monkeypatch):
+    """Each of 900 words is in three of 2,700 texts; 2,000 of them would not show all."""
+    import corpus_pipeline
+
+    letters = "abcdefghij"
+    docs = spark.createDataFrame([(i, "word" + "".join(letters[int(c)] for c in f"{i // 3:03d}")) for i in range(2700)], "doc_id long, text string")
+    seen = []
+    monkeypatch.setattr(corpus_pipeline.secrets, "redact", lambda docs, forest: seen.append(forest) or docs)
+    corpus_pipeline.mask_secrets(spark, docs, "")
+    assert len(seen[0].words) == 900
