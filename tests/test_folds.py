@@ -1,4 +1,4 @@
-"""Cross-validation of recommenders: folds at once, sums per key, scores of both models written once."""
+"""Cross-validation of recommenders: folds at once, sums per key."""
 
 import threading
 
