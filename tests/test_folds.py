@@ -43,3 +43,18 @@ def test_sums_per_key_over_batches_and_buckets(spark, kind):
     to = int if kind == "long" else str
     assert found == {to(k): [float(ids[ids % 7 == k].sum()), float((ids % 7 == k).sum())] for k in range(7)}
     assert J.key_sums(rows.filter("k > 90"), "k", "b", "v").count() == 0
+
+
+def test_blend_cuts_the_lineage_of_both_fits_every_few_rounds(spark, monkeypatch):
+    fits, fit = [], P._als
+
+    def noted(*args, **kw):
+        fits.append(kw.get("checkpointInterval", 10))
+        return fit(*args, **kw)
+
+    monkeypatch.setattr(P, "_als", noted)
+    key = F.col("user_id") * 1000 + F.col("item_id")
+    train, test = frame(spark).filter(key % 5 != 0), frame(spark).filter(key % 5 == 0)
+    assert P.mf_implicit_blend(train, test, 2, 3).count() == test.count()
+    # factors shipped in the rounds since the last checkpoint stay on disk, ten rounds of them unless told otherwise
+    assert fits == [P.ROUNDS_KEPT] * 2 and P.ROUNDS_KEPT <= 2
