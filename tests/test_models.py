@@ -270,3 +270,17 @@ def test_the_form_of_an_encoding_is_a_parameter(spark):
             assert dict(features.one_hot_known(df, "c", df, "x", sparse).dtypes)["x"] == kind
             out = models.ColumnPipeline(nominal=["c"], sparse=sparse).fit(df).transform(df).collect()
             assert all(r["features"].size == n and r["features"].toArray().argmax() == r["id"] for r in out)
+
+
+def test_naive_svd_sums_vectors_in_spark_columns(spark):
+    rows = [(u, i, 1 + (u * i) % 5) for u in range(30) for i in range(20) if (u + i) % 3]
+    ratings = spark.createDataFrame(rows, "user_id long, item_id long, rating int")
+    rest = ratings.select("user_id", "item_id", F.col("rating").cast("double").alias("r"))
+    vectors = spark.createDataFrame([(i, float(i), 1.0) for i in range(20)], "item_id long, v0 double, v1 double")
+    found = recommend._project(rest, 0.5, vectors, "item_id", "user_id", 2)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" not in plan and "transform(" not in plan and "Python" not in plan
+    got = {r["user_id"]: (r["v0"], r["v1"]) for r in found.collect()}
+    for u in range(30):
+        own = [(i, r) for v, i, r in rows if v == u]
+        assert got[u] == pytest.approx((sum(i * r for i, r in own) + 0.5 * 190, sum(r for _, r in own) + 10.0))
