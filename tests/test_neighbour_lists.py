@@ -1,11 +1,14 @@
 """Queries on neighbours' ratings against plain Python, on rows of their own."""
 
+import time
 from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from mlspark import catalog
+from mlspark import catalog, session
+from mlspark.plans import neighbours
 
 catalog.load_all()
 
@@ -64,3 +67,46 @@ def test_lists_take_all_neighbours(spark, sales):
         assert [r.item_id for r in mine] == want
         assert [r.score for r in mine] == pytest.approx([filled[i] for i in want], abs=1e-5)
     assert "rank <= 1)" not in catalog.SQL["P2_cf_topn"]
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle")}
+
+
+def test_a_wave_leaves_no_shuffle_files(spark):
+    """What a wave shuffled is gone when a later one runs; every key is in one wave."""
+    rows = spark.range(2000).selectExpr("if(id % 50 = 0, null, id % 97) as k", "id")
+    left, names = [], []
+
+    def step(wave):
+        names.append(shuffle_files(spark))
+        return rows.filter(wave("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+
+    got = session.in_waves(spark, 5, step)
+    for _ in range(100):
+        left = shuffle_files(spark) - names[0]
+        if not left:
+            break
+        time.sleep(0.1)
+    assert len(names) == 5 and not left
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, rows.groupBy("k").count().collect()), key=str)
+    assert spark.conf.get(session.FREED) == "false"
+
+
+def test_similar_rows_in_waves(spark, monkeypatch):
+    """Blocks that go by dimension in several waves find what all pairs find."""
+    rng = np.random.default_rng(6)
+    rows = [(u, int(i), int(rng.integers(1, 6))) for u in range(90) for i in rng.choice(300, 5, replace=False)]
+    train = defaultdict(dict)
+    for u, i, r in rows:
+        train[u][i] = r
+    units = neighbours.unit_rows(spark.createDataFrame(rows, "u long, i long, r int"), "u", "i", "r")
+    monkeypatch.setattr(session, "WAVE", 4000)
+    seen, real = [], neighbours.in_waves
+    monkeypatch.setattr(neighbours, "in_waves", lambda s, waves, *rest: seen.append(waves) or real(s, waves, *rest))
+    found = neighbours.sparse_topk(units, 6, 8).orderBy("a", "rank").collect()
+    assert seen and seen[0] > 2
+    for a, near in similar(train, 6).items():
+        assert [r.b for r in found if r.a == a] == [b for _, b in near]
+        assert [r.sim for r in found if r.a == a] == pytest.approx([s for s, _ in near])
