@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mlspark import catalog, session
+from mlspark.operators import joins
 from mlspark.plans import neighbours
 
 catalog.load_all()
@@ -110,3 +111,25 @@ def test_similar_rows_in_waves(spark, monkeypatch):
     for a, near in similar(train, 6).items():
         assert [r.b for r in found if r.a == a] == [b for _, b in near]
         assert [r.sim for r in found if r.a == a] == pytest.approx([s for s, _ in near])
+
+
+@pytest.mark.parametrize("name", ["J12_candidate_pairs", "P1_cf_scores", "P2_cf_topn"])
+def test_ratings_of_neighbours_in_waves(spark, sales, monkeypatch, name):
+    """The lists of all pairs of users never travel at once, and no row changes."""
+    folder, train = sales
+    monkeypatch.setattr(session, "WAVE", 20_000)
+    seen, real = [], joins.in_waves
+    monkeypatch.setattr(joins, "in_waves", lambda s, waves, *rest: seen.append(waves) or real(s, waves, *rest))
+    found = {tuple(r) for r in catalog.QUERIES[name](spark, folder).collect()}
+    assert seen and seen[0] > 2
+    known = scores(train, similar(train, 40))
+    if name == "J12_candidate_pairs":
+        assert found == {(u, len(own), sum(own)) for u, own in known.items()}
+    elif name == "P1_cf_scores":
+        assert {(r[0], r[1]) for r in found} == {(u, len(own)) for u, own in known.items()}
+        for u, _, low, high, mean in found:
+            own = known[u].values()
+            assert (low, high, mean) == pytest.approx((min(own), max(own), sum(own) / len(own)), abs=1e-5)
+    else:
+        monkeypatch.undo()
+        assert found == {tuple(r) for r in catalog.QUERIES[name](spark, folder).collect()}
