@@ -1,5 +1,6 @@
 """Queries on neighbours' ratings against plain Python, on rows of their own."""
 
+import os
 import time
 from collections import defaultdict
 
@@ -16,7 +17,7 @@ catalog.load_all()
 
 @pytest.fixture(scope="module")
 def sales(spark, tmp_path_factory):
-    """Folder with orders and lineitem, one line an order, and the training ratings they make."""
+    """Folder with parts, orders and lineitem, one line an order, and the training ratings they make."""
     folder = str(tmp_path_factory.mktemp("sales"))
     rng = np.random.default_rng(8)
     pairs = [(u, i) for u in range(1, 41) for i in sorted(rng.choice(np.arange(1, 61), 9, replace=False).tolist())]
@@ -25,6 +26,9 @@ def sales(spark, tmp_path_factory):
     lines = spark.createDataFrame([(r[0], r[2], r[3]) for r in rows], "l_orderkey long, l_partkey long, l_quantity double")
     orders.write.parquet(f"{folder}/orders.parquet")
     lines.write.parquet(f"{folder}/lineitem.parquet")
+    words = ("red", "green", "small", "steel", "copper")
+    parts = [(i, f"{words[i % 5]} {words[i * 7 % 4]}", words[i % 3], f"b{i % 4}") for i in range(1, 61)]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_type string, p_brand string").write.parquet(f"{folder}/part.parquet")
     train = defaultdict(dict)
     for _, u, i, quantity in rows:
         if (u * 31 + i * 17) % 5:
@@ -82,7 +86,7 @@ def test_a_wave_leaves_no_shuffle_files(spark):
 
     def step(wave):
         names.append(shuffle_files(spark))
-        return rows.filter(wave("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+        return rows.filter(wave.holds("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
 
     got = session.in_waves(spark, 5, step)
     for _ in range(100):
@@ -133,3 +137,27 @@ def test_ratings_of_neighbours_in_waves(spark, sales, monkeypatch, name):
     else:
         monkeypatch.undo()
         assert found == {tuple(r) for r in catalog.QUERIES[name](spark, folder).collect()}
+
+
+@pytest.mark.parametrize("name", ["P3_content_scores", "P3_content_ranges", "P4_hybrid_scores", "P5_evaluate_recommenders"])
+def test_both_models_in_waves(spark, sales, monkeypatch, name):
+    """Neither profiles nor pairs of users and items are on disk for all users at once, and no row changes."""
+    folder, _ = sales
+    one = {tuple(r) for r in catalog.QUERIES[name](spark, folder).collect()}
+    made, kept = [], set()
+
+    class Spy(session.Wave):
+        def __init__(self, *rest):
+            super().__init__(*rest)
+            made.append(self)
+
+        def keep(self, df, name):
+            kept.update(p for w in made[:-1] for p in w.kept if os.path.exists(p))
+            return super().keep(df, name)
+
+    monkeypatch.setattr(session, "Wave", Spy)
+    monkeypatch.setattr(session, "WAVE", 200_000 if name[:2] in ("P4", "P5") else 10_000)
+    assert {tuple(r) for r in catalog.QUERIES[name](spark, folder).collect()} == one
+    assert len(one) and len([w for w in made if w.waves > 2]) > 2
+    if name[:2] in ("P4", "P5"):
+        assert sum(len(w.kept) for w in made) > 4 and not kept
