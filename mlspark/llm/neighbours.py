@@ -2,10 +2,10 @@
 
 Vectors are scaled to length one, where the Euclidean distance falls as the cosine grows and obeys the
 triangle inequality.  Equal vectors are searched once.  Vectors are dealt to shards of about
-``SHARD`` vectors; each shard becomes a vantage-point tree.  A block of queries walks a tree: a subtree is
+``SHARD`` vectors, larger ones where there would be many; each shard becomes a vantage-point tree.  A block of queries walks a tree: a subtree is
 left out when the triangle inequality, relaxed by ``factor``, says that it cannot hold a nearer vector than
 the k-th found so far.  Factor one is the exact bound; smaller factors prune more and may miss some.
-Each (shard, block) pair is one row of a join on the block number and one small task; per query only
+Each (shard, block) pair is one group of both sides and one bounded task; per query only
 the best of every shard are merged.  Scores are then taken anew in double precision from the original
 vectors.
 
@@ -17,24 +17,24 @@ gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from mlspark.llm.common import arrow_map
-from mlspark.session import partitions, written
+from mlspark.session import partitions, ship, written
 
 NEAREST = 5
 EVERY = 50
 SHARD = 4096
 BLOCK = 512
+PARTS = 24  # shards, before they grow
+VALUES = 1 << 21  # numbers of the vectors of a shard that has grown; a block of queries holds half as many
 LEAF = 64
 FACTOR = 1.0
 SLACK = 1e-9  # rounding of distances near zero
+FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 TIE = 1e-7  # rounding of distances of equal directions: the root of that of their dot product
 
 
@@ -153,9 +153,14 @@ def cosine(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (x * y).sum(axis=1) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((y * y).sum(axis=1)))
 
 
-def packed(rows: DataFrame, columns: list[str], number: Column, out: str) -> DataFrame:
-    """Rows gathered into one row per number; a number holds a fixed expected count of rows."""
-    return rows.withColumn(out, number).groupBy(out).agg(F.collect_list(F.struct(*columns)).alias(f"{out}_rows"))
+def side_rows(least: int, n: int, values: int, dims: int) -> int:
+    """Rows of one side that meet in a task: ``least``, and beyond ``PARTS`` parts as many as hold ``values`` numbers, since
+    each part is a copy of the other side."""
+    return max(least, min(values // max(1, dims), -(-n // PARTS)))
+
+
+def _whole(table: pa.Table) -> pa.StructArray:
+    return pa.concat_arrays(table.to_struct_array().chunks)
 
 
 def nearest(vectors: DataFrame, every: int = EVERY, k: int = NEAREST, factor: float = FACTOR, shard: int = SHARD) -> DataFrame:
@@ -165,19 +170,25 @@ def nearest(vectors: DataFrame, every: int = EVERY, k: int = NEAREST, factor: fl
     distinct = written(representatives(rows, k + 1), "distinct")
     queries = rows.filter(F.col("vec_id") % every == 0)
     n_base, n_query = distinct.count(), queries.count()
-    n_shards, n_blocks = max(1, -(-n_base // shard)), max(1, -(-n_query // BLOCK))
-    shards = packed(distinct, ["vector", "ids"], F.pmod(F.xxhash64("vector"), F.lit(n_shards)), "shard")
-    blocks = packed(queries, ["vec_id", "vector"], F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)), "block")
-    # every shard meets every block: copies of either side, one per partner, joined on both numbers
-    shards = shards.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))).withColumn("block", F.col("block").cast("long"))
-    blocks = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1)))).withColumn("shard", F.col("shard").cast("long"))
-    cells = shards.join(blocks, ["shard", "block"])
-
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for i in range(batch.num_rows):
-            yield search_cell(batch.column("shard_rows")[i].values, batch.column("block_rows")[i].values, k, factor)
-
-    found = arrow_map(cells.select("shard_rows", "block_rows"), run, "query_id long, vec_id long, score double")
+    dims = (distinct.select(F.size("vector")).first() or [1])[0]
+    n_shards = max(1, -(-n_base // side_rows(shard, n_base, VALUES, dims)))
+    n_blocks = max(1, -(-n_query // max(BLOCK, VALUES // 2 // dims)))
+    # every shard meets every block: copies of either side, one per partner
+    base = distinct.withColumn("shard", F.pmod(F.xxhash64("vector"), F.lit(n_shards)))
+    base = base.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)).cast("array<long>")))
+    asked = queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)))
+    asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1)).cast("array<long>")))
+    # copies are made before a shuffle that the planner cannot leave out: it would send them through the driver
+    tasks = max(partitions(vectors.sparkSession), min(4 * n_shards * n_blocks, 10_000))
+    cell = ["shard", "block"]
+    base, asked = base.repartition(tasks, *cell), asked.repartition(tasks, *cell)
+
+    def run(near: pa.Table, wanted: pa.Table) -> pa.Table:
+        found = [search_cell(_whole(near), _whole(wanted), k, factor)] if near.num_rows and wanted.num_rows else []
+        return pa.Table.from_batches(found, FOUND)
+
+    ship(vectors.sparkSession)
+    found = base.groupBy(*cell).cogroup(asked.groupBy(*cell)).applyInArrow(run, "query_id long, vec_id long, score double")
     place = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
@@ -216,5 +227,4 @@ def search_cell(shard: pa.StructArray, block: pa.StructArray, k: int, factor: fl
         pairs = [(-s, i) for s, r in zip(score[mine].tolist(), row[mine].tolist(), strict=True) for i in ids[r] if i != query_ids[q]]
         out += [(int(query_ids[q]), i, -s) for s, i in sorted(pairs)[:k]]
     columns = list(zip(*out, strict=True)) or [[], [], []]
-    types = [pa.int64(), pa.int64(), pa.float64()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["query_id", "vec_id", "score"])
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, FOUND.types, strict=True)], schema=FOUND)

@@ -97,3 +97,15 @@ def test_relaxed_factor_prunes_and_keeps_most():
 def test_extreme_lengths():
     x = np.array([[1e200, 2e200], [1e-200, 2e-200], [3.0, 4.0]])
     assert V.cosine(x, x) == pytest.approx([1, 1, 1])
+
+
+def test_copies_of_a_side_are_not_broadcast(spark):
+    """Neither side's copies, one for each part of the other, pass through the driver, and parts stop growing in number."""
+    rows = vectors(300, 3)
+    got = V.nearest(table(spark, rows), 10, 5, shard=40)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan
+    same(found(got), brute(rows, 10, 5))
+    assert V.side_rows(4096, 50_000, V.VALUES, 64) == 4096
+    assert -(-600_000 // V.side_rows(4096, 600_000, V.VALUES, 64)) <= V.PARTS
+    assert V.side_rows(4096, 10**9, V.VALUES, 64) * 64 <= V.VALUES
