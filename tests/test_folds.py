@@ -58,3 +58,37 @@ def test_blend_cuts_the_lineage_of_both_fits_every_few_rounds(spark, monkeypatch
     assert P.mf_implicit_blend(train, test, 2, 3).count() == test.count()
     # factors shipped in the rounds since the last checkpoint stay on disk, ten rounds of them unless told otherwise
     assert fits == [P.ROUNDS_KEPT] * 2 and P.ROUNDS_KEPT <= 2
+
+
+def test_large_fits_keep_one_round_in_bounded_blocks_and_run_alone(spark, monkeypatch):
+    made, busy, most = [], [], []
+    fit = P.ALS
+
+    def noted(**kw):
+        made.append(kw)
+        return fit(**kw)
+
+    monkeypatch.setattr(P, "ALS", noted)
+    key = F.col("user_id") * 1000 + F.col("item_id")
+    rows = frame(spark)
+    n = rows.count()
+
+    def predict(train, test):
+        busy.append(1)
+        most.append(len(busy))
+        found = P.mf_explicit(train, test, 2, 3)
+        found.count()
+        busy.pop()
+        return found
+
+    small = P.cross_validate_mf(rows, predict, key, 3, parallelism=3).first()
+    assert {(m["numUserBlocks"], m["numItemBlocks"], m["checkpointInterval"]) for m in made} == {(10, 10, P.ROUNDS_KEPT)}
+    assert P.mf_nonnegative(rows, 2, 3).rank == 2 and made[-1]["checkpointInterval"] == P.ROUNDS_KEPT
+    made.clear(), most.clear()
+    monkeypatch.setattr(P, "MANY", n // 2)
+    large = P.cross_validate_mf(rows, predict, key, 3, parallelism=3).first()
+    assert most == [1, 1, 1] and {m["checkpointInterval"] for m in made} == {1}
+    assert large.asDict() == pytest.approx(small.asDict())
+    monkeypatch.setattr(P, "BLOCK_RATINGS", n // 15)
+    P.mf_nonnegative(rows, 2, 2)
+    assert made[-1]["numUserBlocks"] == made[-1]["numItemBlocks"] >= 15
